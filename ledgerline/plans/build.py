@@ -55,12 +55,12 @@ def build_all(sources: dict[str, DataFrame], min_rows: int = 1000,
 
 
 def run(spark: SparkSession, sources: dict[str, DataFrame], persist_root: str | None = None,
-        **kwargs) -> dict[str, DataFrame]:
-    """Default entry: the six Gold tables; with ``persist_root`` all 24 layers
-    are validated and written as one published run, and Gold is returned read
-    back from it."""
+        min_rows: int = 1000) -> dict[str, DataFrame]:
+    """Default entry: the six Gold tables (lazy). With ``persist_root`` all 24
+    tables are written, validated and published as one run, and Gold is
+    returned read back from it."""
     if persist_root is None:
         return build_gold(sources)
     from ledgerline.sinks.writers import full_refresh
 
-    return full_refresh(spark, build_all(sources, **kwargs), persist_root)
+    return full_refresh(spark, sources, persist_root, validate=True, min_rows=min_rows)

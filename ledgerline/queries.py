@@ -65,3 +65,191 @@ def q_gold_dim_sellers(spark, sf_dir):
 @register("gold_dim_products")
 def q_gold_dim_products(spark, sf_dir):
     return G.gold_dim_products(silver_tables(spark, sf_dir))
+
+
+def staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return staging.stage_source(spark, sf_dir, name)
+
+
+def payments_with_null_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver payments where one event type maps to a NULL payment type, so
+    NULL groups and NULL-first ties are exercised."""
+    return S.silver_order_payments(staging.stage_order_payments(spark, sf_dir, null_type=True))
+
+
+def orders_with_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.order_measures(staged(spark, sf_dir, "orders"))
+
+
+# --- Bronze / Silver ---------------------------------------------------------------
+
+
+@register("bronze_replicate")
+def q_bronze_replicate(spark, sf_dir):
+    """V1: the Bronze orders replica (timestamps derived per order)."""
+    return S.build_bronze(staging.load_sources(spark, sf_dir))["bronze_orders"]
+
+
+@register("silver_geolocations")
+def q_silver_geolocations(spark, sf_dir):
+    """V2/V6: one row per zip prefix."""
+    return S.silver_geolocations(staged(spark, sf_dir, "geolocation"))
+
+
+@register("agg_mode")
+def q_agg_mode(spark, sf_dir):
+    """V3: deterministic mode of the payment type per order (nulls skipped,
+    ties to the smallest, all-null -> NULL)."""
+    from ledgerline.functions import mode_of
+
+    return payments_with_null_type(spark, sf_dir).groupBy("order_id").agg(
+        mode_of("payment_type").alias("payment_type_mode"))
+
+
+@register("round_coordinates")
+def q_round_coordinates(spark, sf_dir):
+    """V4: coordinates averaged at full precision, rounded to 7 places."""
+    return S.silver_geolocations(staged(spark, sf_dir, "geolocation")).select(
+        "zip_code_prefix", "latitude", "longitude")
+
+
+@register("round_money")
+def q_round_money(spark, sf_dir):
+    """V5: money rounded to 2 places on items."""
+    return S.silver_order_items(staged(spark, sf_dir, "order_items"))
+
+
+@register("silver_passthrough")
+def q_silver_passthrough(spark, sf_dir):
+    """Pass-through Silver table, without the prefix."""
+    return S.build_silver(staging.load_sources(spark, sf_dir), strip_prefix=True)["order_reviews"]
+
+
+# --- scalar expressions ----------------------------------------------------------
+
+
+@register("item_total_value")
+def q_item_total_value(spark, sf_dir):
+    """Every item row with price + freight."""
+    return G.items_prepared(S.silver_order_items(staged(spark, sf_dir, "order_items")))
+
+
+@register("fn_day_diff")
+def q_fn_day_diff(spark, sf_dir):
+    """Fractional day differences, sign kept, NULL-propagating."""
+    return orders_with_measures(spark, sf_dir).select(
+        "order_id", "delivery_days", "carrier_to_customer_days", "estimated_delivery_days",
+        "delivery_delay_days")
+
+
+@register("fn_hour_diff")
+def q_fn_hour_diff(spark, sf_dir):
+    """P5: approval time in hours."""
+    return orders_with_measures(spark, sf_dir).select("order_id", "approve_hours")
+
+
+@register("fn_year_month_parts")
+def q_fn_year_month_parts(spark, sf_dir):
+    """Purchase year and month as integers."""
+    return orders_with_measures(spark, sf_dir).select("order_id", "purchase_year", "purchase_month")
+
+
+@register("fn_year_month_label")
+def q_fn_year_month_label(spark, sf_dir):
+    """Purchase month as yyyy-MM."""
+    return orders_with_measures(spark, sf_dir).select("order_id", "purchase_year_month")
+
+
+@register("fn_late_flag")
+def q_fn_late_flag(spark, sf_dir):
+    """Three-valued late flag."""
+    return orders_with_measures(spark, sf_dir).select("order_id", "is_delivered_late")
+
+
+@register("fn_guarded_ratio")
+def q_fn_guarded_ratio(spark, sf_dir):
+    """On-time rate per customer, NULL when nothing was delivered."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.functions import guarded_ratio
+
+    late = F.col("is_delivered_late")
+    return orders_with_measures(spark, sf_dir).groupBy("customer_id").agg(
+        F.count(late).alias("delivered_orders"),
+        F.count_if(late).alias("late_orders"),
+        guarded_ratio(F.count_if(late), F.count(late)).alias("otd_rate"))
+
+
+@register("notebook_intervals")
+def q_notebook_intervals(spark, sf_dir):
+    """The notebook's signed order intervals, in microseconds."""
+    from ledgerline.operators import notebook as N
+
+    return N.order_intervals(staged(spark, sf_dir, "orders"))
+
+
+# --- joins -------------------------------------------------------------------------
+
+
+@register("join_ranked_condition")
+def q_join_ranked_condition(spark, sf_dir):
+    """Payments joined to their order's rank-1 type (rank in the ON clause)."""
+    return G.join_ranked_condition(payments_with_null_type(spark, sf_dir))
+
+
+@register("notebook_shipping_join")
+def q_notebook_shipping_join(spark, sf_dir):
+    """Items with the order's carrier date and the shipping margin."""
+    from ledgerline.operators import notebook as N
+
+    return N.shipping_join(staged(spark, sf_dir, "order_items"), staged(spark, sf_dir, "orders"))
+
+
+# --- aggregations and windows -----------------------------------------------------
+
+
+@register("agg_payments")
+def q_agg_payments(spark, sf_dir):
+    """A1: payments per order incl. the main type (NULL types included)."""
+    return G.agg_payments(payments_with_null_type(spark, sf_dir))
+
+
+@register("agg_reviews")
+def q_agg_reviews(spark, sf_dir):
+    """A2: reviews per order."""
+    return G.agg_reviews(staged(spark, sf_dir, "order_reviews"))
+
+
+@register("agg_items")
+def q_agg_items(spark, sf_dir):
+    """A3: items per order."""
+    return G.agg_items(S.silver_order_items(staged(spark, sf_dir, "order_items")))
+
+
+@register("agg_payment_type_counts")
+def q_agg_payment_type_counts(spark, sf_dir):
+    """A5: COUNT(*) per (order, payment type), NULL type a group of its own."""
+    return G.agg_payment_type_counts(payments_with_null_type(spark, sf_dir))
+
+
+@register("notebook_payments")
+def q_notebook_payments(spark, sf_dir):
+    """Notebook payment summary with the first non-null type by sequence."""
+    from ledgerline.operators import notebook as N
+
+    return N.payments_summary(staging.stage_order_payments(spark, sf_dir, null_type=True))
+
+
+@register("window_payment_rank")
+def q_window_payment_rank(spark, sf_dir):
+    """ROW_NUMBER of payment types per order (count desc, type asc, NULL first)."""
+    return G.window_payment_rank(payments_with_null_type(spark, sf_dir))
+
+
+@register("notebook_head_sort")
+def q_notebook_head_sort(spark, sf_dir):
+    """L1: first five orders of the payment summary, shown by installments."""
+    from ledgerline.operators import notebook as N
+
+    return N.head_sorted(N.payments_summary(
+        staging.stage_order_payments(spark, sf_dir, null_type=True)), 5)
