@@ -281,12 +281,10 @@ def table_profile(df: DataFrame, table: str) -> DataFrame:
     cols = df.columns
     agg = df.agg(F.count(F.lit(1)).alias("_rows"),
                  *[F.count(F.col(c)).alias(f"_c{i}") for i, c in enumerate(cols)])
-    types = dict(df.dtypes)
     rows = [F.struct(
         F.lit(table).alias("table_name"),
         F.lit(i + 1).alias("position"),
         F.lit(c).alias("column_name"),
-        F.lit(types[c]).alias("data_type"),
         F.col(f"_c{i}").alias("non_null_count"),
         (F.col("_rows") - F.col(f"_c{i}")).alias("null_count"),
         F.col("_rows").alias("row_count"),

@@ -253,3 +253,387 @@ def q_notebook_head_sort(spark, sf_dir):
 
     return N.head_sorted(N.payments_summary(
         staging.stage_order_payments(spark, sf_dir, null_type=True)), 5)
+
+
+# --- data quality -----------------------------------------------------------------
+
+
+def all_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from ledgerline.plans.build import build_all
+
+    return build_all(staging.load_sources(spark, sf_dir), validate=False)
+
+
+@register("dq_no_nulls")
+def q_dq_no_nulls(spark, sf_dir):
+    """Q1: null counts per column of the order fact (incl. a missing column)."""
+    from ledgerline.operators import quality as Q
+
+    fct = G.gold_fct_orders(silver_tables(spark, sf_dir))
+    return Q.no_nulls(fct, ["order_id", "order_delivered_carrier_date", "payment_value_total",
+                            "review_count", "no_such_column"], "gold_fct_orders")
+
+
+@register("dq_row_count")
+def q_dq_row_count(spark, sf_dir):
+    """Q2: row floors (one passing, one failing)."""
+    from ledgerline.operators import quality as Q
+
+    return Q.union_reports([
+        Q.row_count(staged(spark, sf_dir, "order_items"), 1000, "bronze_order_items"),
+        Q.row_count(S.silver_geolocations(staged(spark, sf_dir, "geolocation")), 1000,
+                    "silver_geolocations"),
+    ])
+
+
+@register("dq_no_duplicates")
+def q_dq_no_duplicates(spark, sf_dir):
+    """Q3: excess rows per key; NULL keys equal; absent key columns."""
+    from ledgerline.operators import quality as Q
+
+    return Q.union_reports([
+        Q.no_duplicates(staged(spark, sf_dir, "order_items"), ["order_id", "order_item_id"],
+                        "bronze_order_items"),
+        Q.no_duplicates(staged(spark, sf_dir, "geolocation"), ["geolocation_zip_code_prefix"],
+                        "bronze_geolocation"),
+        Q.no_duplicates(staged(spark, sf_dir, "orders"), ["order_id", "not_a_column"],
+                        "bronze_orders"),
+        Q.no_duplicates(staged(spark, sf_dir, "customers"), ["not_a_column"], "bronze_customers"),
+    ])
+
+
+@register("dq_value_range")
+def q_dq_value_range(spark, sf_dir):
+    """Q4: inclusive ranges, open bounds, nulls ignored, missing column."""
+    from ledgerline.operators import quality as Q
+
+    items = S.silver_order_items(staged(spark, sf_dir, "order_items"))
+    orders = orders_with_measures(spark, sf_dir)
+    payments = S.silver_order_payments(staged(spark, sf_dir, "order_payments"))
+    return Q.union_reports([
+        Q.value_range(items, "price", 0, None, "silver_order_items"),
+        Q.value_range(orders, "delivery_delay_days", -10, 10, "gold_fct_orders"),
+        Q.value_range(payments, "payment_installments", 1, 50, "silver_order_payments"),
+        Q.value_range(payments, "no_such_column", 0, 1, "silver_order_payments"),
+    ])
+
+
+@register("dq_suite_bronze")
+def q_dq_suite_bronze(spark, sf_dir):
+    """Q5: Bronze suite."""
+    from ledgerline.operators import quality as Q
+
+    return Q.suite_bronze(S.build_bronze(staging.load_sources(spark, sf_dir)))
+
+
+@register("dq_suite_silver")
+def q_dq_suite_silver(spark, sf_dir):
+    """Q5: Silver suite."""
+    from ledgerline.operators import quality as Q
+
+    return Q.suite_silver(S.build_silver(staging.load_sources(spark, sf_dir)))
+
+
+@register("dq_suite_gold")
+def q_dq_suite_gold(spark, sf_dir):
+    """Q5: Gold suite."""
+    from ledgerline.operators import quality as Q
+
+    return Q.suite_gold(G.build_gold(silver_tables(spark, sf_dir)))
+
+
+@register("dq_primary_keys")
+def q_dq_primary_keys(spark, sf_dir):
+    """Q6: declared primary keys of all 24 tables."""
+    from ledgerline.operators import quality as Q
+
+    return Q.primary_keys(all_layers(spark, sf_dir))
+
+
+@register("dq_foreign_keys")
+def q_dq_foreign_keys(spark, sf_dir):
+    """Q7: the 13 declared foreign keys (orphan counts)."""
+    from ledgerline.operators import quality as Q
+
+    return Q.foreign_keys(all_layers(spark, sf_dir))
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    """Q8: NOT NULL columns of all 24 tables."""
+    from ledgerline.operators import quality as Q
+
+    return Q.not_null(all_layers(spark, sf_dir))
+
+
+@register("dq_domain")
+def q_dq_domain(spark, sf_dir):
+    """Q9: UNSIGNED and text-length limits of all 24 tables."""
+    from ledgerline.operators import quality as Q
+
+    return Q.domains(all_layers(spark, sf_dir))
+
+
+@register("table_profile")
+def q_table_profile(spark, sf_dir):
+    """Q10: rows, columns and non-null counts of the order fact."""
+    from ledgerline.operators import quality as Q
+
+    return Q.table_profile(G.gold_fct_orders(silver_tables(spark, sf_dir)), "gold_fct_orders")
+
+
+def _row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from ledgerline import schemas
+
+    parts = [tables[t].agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(t).alias("table_name"), F.lit(schemas.layer_of(t)).alias("layer"),
+                     "row_count") for t in schemas.LOAD_ORDER]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("layer_row_counts")
+def q_layer_row_counts(spark, sf_dir):
+    """The validated full build (24 tables); row count per table."""
+    from ledgerline.plans.build import build_all
+
+    return _row_counts(build_all(staging.load_sources(spark, sf_dir), validate=True))
+
+
+# --- sources ------------------------------------------------------------------------
+
+
+def _text_timestamps(df: DataFrame):
+    from pyspark.sql import types as T
+
+    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(
+        f.dataType, T.TimestampNTZType) else f.dataType, True) for f in df.schema.fields])
+
+
+@register("scan_csv")
+def q_scan_csv(spark, sf_dir):
+    """S1 (+S9): orders landed as CSV text, read with a schema, timestamps coerced."""
+    from ledgerline import schemas
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import landing, readers
+
+    path = scratch_path(spark, "scan_csv")
+    orders = staged(spark, sf_dir, "orders")
+    landing.write_csv(orders, path)
+    raw = readers.read_csv(spark, path, _text_timestamps(orders))
+    return readers.coerce_timestamps(raw, schemas.TIMESTAMP_COLUMNS["orders"])
+
+
+@register("scan_json")
+def q_scan_json(spark, sf_dir):
+    """Payments landed as JSON Lines and read with a schema."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import landing, readers
+
+    path = scratch_path(spark, "scan_json")
+    payments = staged(spark, sf_dir, "order_payments")
+    landing.write_json_lines(payments, path)
+    return readers.read_json(spark, path, payments.schema)
+
+
+@register("scan_parquet")
+def q_scan_parquet(spark, sf_dir):
+    """S3: items landed as Parquet and read back."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import readers
+
+    path = scratch_path(spark, "scan_parquet")
+    staged(spark, sf_dir, "order_items").write.mode("overwrite").parquet(path)
+    return readers.read_parquet(spark, path)
+
+
+@register("scan_json_envelope")
+def q_scan_json_envelope(spark, sf_dir):
+    """Payments landed as paged {"value": [...]} envelopes and unwrapped."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import landing, readers
+
+    path = scratch_path(spark, "scan_json_envelope")
+    payments = staged(spark, sf_dir, "order_payments")
+    landing.write_json_envelopes(payments, path, page_size=1000)
+    return readers.read_json_envelope(spark, path, payments.schema)
+
+
+@register("scan_by_suffix")
+def q_scan_by_suffix(spark, sf_dir):
+    """The reader is chosen from the path suffix (.csv here)."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import landing, readers
+
+    path = scratch_path(spark, "scan_by_suffix") + "/order_items.CSV"
+    items = staged(spark, sf_dir, "order_items")
+    landing.write_csv(items, path)
+    return readers.read_by_suffix(spark, path, items.schema)
+
+
+@register("scan_newest_file")
+def q_scan_newest_file(spark, sf_dir):
+    """The newest landed dataset wins; an ignored folder is skipped."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import readers
+
+    root = scratch_path(spark, "scan_newest")
+    staged(spark, sf_dir, "sellers").write.parquet(f"{root}/v1")
+    staged(spark, sf_dir, "orders").write.parquet(f"{root}/v2")
+    staged(spark, sf_dir, "products").write.parquet(f"{root}/archive/v3")
+    newest = readers.newest_entry(spark, root, {".parquet"}, ignore_dirs=[f"{root}/archive"])
+    return readers.read_parquet(spark, newest)
+
+
+@register("load_dataset")
+def q_load_dataset(spark, sf_dir):
+    """Nine landed files checked for existence together, then read;
+    row count per table."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import readers
+
+    base = scratch_path(spark, "load_dataset")
+    files = {name: f"{name}.parquet" for name in staging.load_sources(spark, sf_dir)}
+    for name, df in staging.load_sources(spark, sf_dir).items():
+        df.write.parquet(f"{base}/{files[name]}")
+    tables = readers.load_dataset(spark, base, files)
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(name).alias("table_name"), "row_count") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("scan_csv_latin1")
+def q_scan_csv_latin1(spark, sf_dir):
+    """Customers landed as ISO-8859-1 CSV and decoded."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import landing, readers
+
+    path = scratch_path(spark, "scan_csv_latin1")
+    customers = staged(spark, sf_dir, "customers")
+    landing.write_csv(customers, path, encoding="ISO-8859-1")
+    return readers.read_csv_latin1(spark, path, customers.schema)
+
+
+@register("coerce_timestamps")
+def q_coerce_timestamps(spark, sf_dir):
+    """Text timestamps parsed; unparseable or empty text becomes NULL."""
+    from pyspark.sql import functions as F
+
+    from ledgerline import schemas
+    from ledgerline.sources import readers
+
+    orders = staged(spark, sf_dir, "orders")
+    ts_cols = schemas.TIMESTAMP_COLUMNS["orders"]
+    text = orders.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ts_cols})
+    text = text.withColumns({
+        "order_approved_at": F.when(F.col("order_id") % 97 == 0, F.lit("not a date"))
+        .otherwise(F.col("order_approved_at")),
+        "order_delivered_customer_date": F.when(F.col("order_id") % 89 == 0, F.lit(""))
+        .otherwise(F.col("order_delivered_customer_date")),
+    })
+    return readers.coerce_timestamps(text, ts_cols)
+
+
+@register("normalize_null_tokens")
+def q_normalize_null_tokens(spark, sf_dir):
+    """Missing-value tokens in text columns become NULL."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.sources import readers
+
+    c = F.col("customer_id") % 10
+    city = (F.when(c == 0, "NA").when(c == 1, "null").when(c == 2, "").when(c == 3, "None")
+            .when(c == 4, "n/a").otherwise(F.col("customer_city")))
+    customers = staged(spark, sf_dir, "customers").withColumn("customer_city", city)
+    return readers.normalize_null_tokens(customers)
+
+
+# --- sinks --------------------------------------------------------------------------
+
+
+@register("conform_columns")
+def q_conform_columns(spark, sf_dir):
+    """K4: reordered orders with an extra column, projected to the declared list."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.sinks.writers import conform_columns
+
+    orders = staged(spark, sf_dir, "orders")
+    shuffled = orders.select(*reversed(orders.columns), F.lit("x").alias("extra_column"))
+    return conform_columns(shuffled, "silver_orders")
+
+
+@register("conform_types")
+def q_conform_types(spark, sf_dir):
+    """K5: the order fact cast to its declared sink types."""
+    from ledgerline.sinks.writers import conform_types
+
+    return conform_types(G.gold_fct_orders(silver_tables(spark, sf_dir)), "gold_fct_orders")
+
+
+@register("create_layer_tables")
+def q_create_layer_tables(spark, sf_dir):
+    """K6: layer databases and tables created (twice: idempotent), the customer
+    dimension loaded by full refresh and read back from the catalog."""
+    import uuid
+
+    from ledgerline.session import scratch_path
+    from ledgerline.sinks import writers
+
+    root = scratch_path(spark, "catalog")
+    prefix = f"ledgerline_{uuid.uuid4().hex[:8]}"
+    writers.create_layer_tables(spark, root, prefix)
+    created = writers.create_layer_tables(spark, root, prefix)
+    target = created["gold_dim_customers"]
+    writers.insert_full_refresh(G.gold_dim_customers(silver_tables(spark, sf_dir)), target,
+                                "gold_dim_customers")
+    return spark.table(target)
+
+
+@register("register_views")
+def q_register_views(spark, sf_dir):
+    """K7: Silver registered as SQL views; the item summary written in SQL."""
+    from ledgerline.sinks.writers import register_views
+
+    register_views(S.build_silver(staging.load_sources(spark, sf_dir)), strip="silver_")
+    return spark.sql("""
+        SELECT order_id,
+               COUNT(order_item_id) AS items_count,
+               COUNT(DISTINCT product_id) AS products_count,
+               COUNT(DISTINCT seller_id) AS sellers_count,
+               CAST(SUM(price) AS DECIMAL(18,2)) AS items_value,
+               CAST(SUM(freight_value) AS DECIMAL(18,2)) AS freight_value,
+               CAST(SUM(CAST(price + freight_value AS DECIMAL(14,2))) AS DECIMAL(18,2))
+                   AS order_total_value
+        FROM order_items
+        GROUP BY order_id""")
+
+
+@register("sink_full_refresh")
+def q_sink_full_refresh(spark, sf_dir):
+    """K1: all 24 tables written, validated and published as one run; row
+    counts read back from the published run."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sinks import writers
+
+    root = scratch_path(spark, "published")
+    writers.full_refresh(spark, staging.load_sources(spark, sf_dir), root)
+    return writers.published_row_counts(spark, root)
+
+
+@register("sink_layer_subset")
+def q_sink_layer_subset(spark, sf_dir):
+    """K2: Bronze and Silver published, Gold published empty."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sinks import writers
+
+    root = scratch_path(spark, "published_subset")
+    writers.layer_subset_refresh(spark, staging.load_sources(spark, sf_dir), root)
+    return writers.published_row_counts(spark, root)
