@@ -222,16 +222,20 @@ def foreign_key(child: DataFrame, child_col: str, parent: DataFrame, parent_col:
                 child_table: str, parent_table: str, severity: str = WARN) -> DataFrame:
     """Q7: non-null child values that have no parent row (orphans).
 
-    The parent side is reduced to its distinct keys (map-side first) so the
-    left join cannot fan out; the join is planned by AQE (broadcast when the
-    key set is measured small, otherwise sort-merge with skew splitting on the
-    child side).
+    Both sides are reduced before the join: the child to one row per distinct
+    value with its row count, the parent to its distinct keys (each combined
+    map-side first). The join then sees unique keys on both sides, so a value
+    referenced by a third of all child rows costs one row, and the two
+    aggregate outputs are already partitioned on the key (no further shuffle).
     """
+    probe = (child.where(F.col(child_col).isNotNull())
+             .groupBy(F.col(child_col).alias("_fk"))
+             .agg(F.count(F.lit(1)).alias("_n")))
     keys = parent.select(F.col(parent_col).alias("_pk")).distinct().withColumn("_hit", F.lit(True))
-    probe = child.select(F.col(child_col).alias("_fk")).where(F.col("_fk").isNotNull())
     joined = probe.join(keys, probe["_fk"] == keys["_pk"], "left")
-    agg = joined.agg(F.count_if(F.col("_hit").isNull()).alias("_orphans"),
-                     F.count(F.lit(1)).alias("_total"))
+    agg = joined.agg(
+        F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0)).alias("_orphans"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"))
     return _report(agg, [_row(child_table, f"foreign_key->{parent_table}.{parent_col}",
                               child_col, F.col("_orphans"), F.col("_total"), severity)])
 
@@ -243,6 +247,15 @@ def foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
     return union_reports(reports)
 
 
+def relationships(sources: dict[str, DataFrame]) -> DataFrame:
+    """E5/Q7: the business relationships between the raw source tables."""
+    reports = [foreign_key(sources[child], ccol, sources[parent], pcol, child, parent)
+               for child, edges in schemas.RELATIONSHIPS.items()
+               for ccol, (parent, pcol) in edges.items()
+               if child in sources and parent in sources]
+    return union_reports(reports)
+
+
 def not_null(tables: dict[str, DataFrame]) -> DataFrame:
     """Q8: NOT NULL columns of the declared schema."""
     return union_reports([no_nulls(df, schemas.not_null_columns(name), name)

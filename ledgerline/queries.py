@@ -358,6 +358,14 @@ def q_dq_foreign_keys(spark, sf_dir):
     return Q.foreign_keys(all_layers(spark, sf_dir))
 
 
+@register("dq_relationships")
+def q_dq_relationships(spark, sf_dir):
+    """E5: orphan counts along the nine source relationships."""
+    from ledgerline.operators import quality as Q
+
+    return Q.relationships(staging.load_sources(spark, sf_dir))
+
+
 @register("dq_not_null")
 def q_dq_not_null(spark, sf_dir):
     """Q8: NOT NULL columns of all 24 tables."""

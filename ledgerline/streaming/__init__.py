@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The modelled job is a batch full refresh: it has no stream source, watermark,
+event-time window or state, so nothing is built here. A full refresh can be
+triggered per arriving batch of landed files by calling
+``ledgerline.sinks.writers.full_refresh`` from the caller's own scheduler.
+"""
