@@ -15,6 +15,7 @@ from ledgerline.functions.expressions import (  # noqa: F401
     month_part,
     round_money,
     sum_money,
+    sum_totals,
     year_month_label,
     year_part,
 )

@@ -64,7 +64,18 @@ def round_money(col: Column | str) -> Column:
 
 
 def sum_money(col: Column | str) -> Column:
-    """Exact, order-independent sum of a money column."""
+    """Exact, order-independent sum of single money values (DECIMAL(14,2)).
+
+    Summed as whole cents in a 64-bit integer (fast fixed-width arithmetic
+    instead of an arbitrary-precision buffer) and turned back into
+    DECIMAL(18,2) once per group; an overflow raises under ANSI mode.
+    """
+    cents = (_c(col).cast(MONEY) * 100).cast("long")
+    return (F.sum(cents).cast("decimal(18,0)") / 100).cast(MONEY_SUM)
+
+
+def sum_totals(col: Column | str) -> Column:
+    """Exact sum of already-summed money (DECIMAL(18,2) totals)."""
     return F.sum(_c(col)).cast(MONEY_SUM)
 
 

@@ -20,6 +20,8 @@ Every input is a Silver table without the ``silver_`` prefix.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,10 +37,12 @@ from ledgerline.functions import (
     month_part,
     round_money,
     sum_money,
+    sum_totals,
     year_month_label,
     year_part,
 )
 from ledgerline.schemas import columns
+from ledgerline.tables import LazyTables
 
 # ---------------------------------------------------------------------------
 # Per-order summaries
@@ -97,14 +101,14 @@ def agg_payments(order_payments: DataFrame) -> DataFrame:
     """
     per_type = order_payments.groupBy("order_id", "payment_type").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum("payment_value").alias("value_sum"),
+        sum_money("payment_value").alias("value_sum"),
         F.max("payment_sequential").alias("seq_max"),
         F.max("payment_installments").alias("inst_max"),
         F.sum("payment_installments").alias("inst_sum"),
         F.count("payment_installments").alias("inst_n"),
     )
     return per_type.groupBy("order_id").agg(
-        F.sum("value_sum").cast("decimal(18,2)").alias("payment_value_total"),
+        sum_totals("value_sum").alias("payment_value_total"),
         F.max("seq_max").alias("payment_sequential_max"),
         F.max("inst_max").alias("payment_installments_max"),
         (F.sum("inst_sum").cast("double") / F.sum("inst_n")).alias("payment_installments_mean"),
@@ -161,7 +165,7 @@ def order_measures(orders: DataFrame) -> DataFrame:
     })
 
 
-def gold_fct_orders(tables: dict[str, DataFrame]) -> DataFrame:
+def gold_fct_orders(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per order with item, payment and review summaries and measures."""
     orders = tables["orders"]
     fact = (orders
@@ -179,7 +183,7 @@ _ORDER_COLUMNS_FOR_ITEMS = [
 ]
 
 
-def gold_fct_order_items(tables: dict[str, DataFrame], fct_orders: DataFrame | None = None) -> DataFrame:
+def gold_fct_order_items(tables: Mapping[str, DataFrame], fct_orders: DataFrame | None = None) -> DataFrame:
     """Every item row with its order's attributes and shipping accuracy.
 
     Only the order-level columns needed are derived (the item fact does not
@@ -211,9 +215,9 @@ def gold_agg_sales_monthly(fct_orders: DataFrame) -> DataFrame:
     return fct_orders.groupBy("purchase_year", "purchase_month", "purchase_year_month").agg(
         F.countDistinct("order_id").alias("orders_count"),
         F.countDistinct("customer_id").alias("customers_count"),
-        sum_money("order_total_value").alias("revenue_total"),
-        sum_money("payment_value_total").alias("payment_total"),
-        sum_money("freight_value").alias("freight_total"),
+        sum_totals("order_total_value").alias("revenue_total"),
+        sum_totals("payment_value_total").alias("payment_total"),
+        sum_totals("freight_value").alias("freight_total"),
         avg_money("order_total_value").alias("avg_ticket"),
         avg_money("freight_value").alias("avg_freight"),
         avg_micros_as_days(micros_between("order_purchase_timestamp",
@@ -242,17 +246,17 @@ def _with_geo(df: DataFrame, zip_col: str, geolocations: DataFrame, prefix: str)
     return df.join(geo, zip_col, "left")
 
 
-def gold_dim_customers(tables: dict[str, DataFrame]) -> DataFrame:
+def gold_dim_customers(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _with_geo(tables["customers"], "customer_zip_code_prefix",
                      tables["geolocations"], "customer").select(*columns("gold_dim_customers"))
 
 
-def gold_dim_sellers(tables: dict[str, DataFrame]) -> DataFrame:
+def gold_dim_sellers(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _with_geo(tables["sellers"], "seller_zip_code_prefix",
                      tables["geolocations"], "seller").select(*columns("gold_dim_sellers"))
 
 
-def gold_dim_products(tables: dict[str, DataFrame]) -> DataFrame:
+def gold_dim_products(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Products with the English category; duplicate categories would fan out."""
     categories = tables["product_categories"].select(
         "product_category_name", "product_category_name_english")
@@ -260,14 +264,20 @@ def gold_dim_products(tables: dict[str, DataFrame]) -> DataFrame:
             .select(*columns("gold_dim_products")))
 
 
-def build_gold(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The six Gold tables from un-prefixed Silver tables (lazy)."""
-    fct_orders = gold_fct_orders(tables)
-    return {
-        "gold_dim_customers": gold_dim_customers(tables),
-        "gold_dim_products": gold_dim_products(tables),
-        "gold_dim_sellers": gold_dim_sellers(tables),
+def build_gold(tables: Mapping[str, DataFrame]) -> LazyTables:
+    """The six Gold tables from un-prefixed Silver tables (built on access)."""
+    fct: dict[str, DataFrame] = {}
+
+    def fct_orders() -> DataFrame:
+        if "f" not in fct:
+            fct["f"] = gold_fct_orders(tables)
+        return fct["f"]
+
+    return LazyTables({
+        "gold_dim_customers": lambda: gold_dim_customers(tables),
+        "gold_dim_products": lambda: gold_dim_products(tables),
+        "gold_dim_sellers": lambda: gold_dim_sellers(tables),
         "gold_fct_orders": fct_orders,
-        "gold_fct_order_items": gold_fct_order_items(tables),
-        "gold_agg_sales_monthly": gold_agg_sales_monthly(fct_orders),
-    }
+        "gold_fct_order_items": lambda: gold_fct_order_items(tables),
+        "gold_agg_sales_monthly": lambda: gold_agg_sales_monthly(fct_orders()),
+    })

@@ -16,6 +16,7 @@ so it scales with the data; only the few report rows ever reach the driver, in
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -177,7 +178,7 @@ def validate_value_range(df: DataFrame, column: str, min_value: float | None,
 # ---------------------------------------------------------------------------
 
 
-def suite_bronze(tables: dict[str, DataFrame], min_rows: int = 1000) -> DataFrame:
+def suite_bronze(tables: Mapping[str, DataFrame], min_rows: int = 1000) -> DataFrame:
     return union_reports([
         row_count(tables["bronze_orders"], min_rows, "bronze_orders"),
         row_count(tables["bronze_order_items"], min_rows, "bronze_order_items"),
@@ -186,7 +187,7 @@ def suite_bronze(tables: dict[str, DataFrame], min_rows: int = 1000) -> DataFram
     ])
 
 
-def suite_silver(tables: dict[str, DataFrame]) -> DataFrame:
+def suite_silver(tables: Mapping[str, DataFrame]) -> DataFrame:
     items = tables["silver_order_items"]
     return union_reports([
         no_nulls(tables["silver_orders"],
@@ -197,7 +198,7 @@ def suite_silver(tables: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
-def suite_gold(tables: dict[str, DataFrame], min_rows: int = 1000) -> DataFrame:
+def suite_gold(tables: Mapping[str, DataFrame], min_rows: int = 1000) -> DataFrame:
     orders = tables["gold_fct_orders"]
     return union_reports([
         row_count(orders, min_rows, "gold_fct_orders"),
@@ -212,7 +213,7 @@ def suite_gold(tables: dict[str, DataFrame], min_rows: int = 1000) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def primary_keys(tables: dict[str, DataFrame]) -> DataFrame:
+def primary_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Q6: uniqueness of every declared primary key among the given tables."""
     return union_reports([no_duplicates(df, schemas.PRIMARY_KEYS[name], name)
                           for name, df in tables.items() if name in schemas.PRIMARY_KEYS])
@@ -240,14 +241,14 @@ def foreign_key(child: DataFrame, child_col: str, parent: DataFrame, parent_col:
                               child_col, F.col("_orphans"), F.col("_total"), severity)])
 
 
-def foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
+def foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Q7 over every declared constraint whose two tables are given."""
     reports = [foreign_key(tables[c], cc, tables[p], pc, c, p)
                for c, cc, p, pc in schemas.FOREIGN_KEYS if c in tables and p in tables]
     return union_reports(reports)
 
 
-def relationships(sources: dict[str, DataFrame]) -> DataFrame:
+def relationships(sources: Mapping[str, DataFrame]) -> DataFrame:
     """E5/Q7: the business relationships between the raw source tables."""
     reports = [foreign_key(sources[child], ccol, sources[parent], pcol, child, parent)
                for child, edges in schemas.RELATIONSHIPS.items()
@@ -256,7 +257,7 @@ def relationships(sources: dict[str, DataFrame]) -> DataFrame:
     return union_reports(reports)
 
 
-def not_null(tables: dict[str, DataFrame]) -> DataFrame:
+def not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Q8: NOT NULL columns of the declared schema."""
     return union_reports([no_nulls(df, schemas.not_null_columns(name), name)
                           for name, df in tables.items() if schemas.not_null_columns(name)])
@@ -279,7 +280,7 @@ def domain(df: DataFrame, table: str, severity: str = WARN) -> DataFrame:
     return _report(agg, rows)
 
 
-def domains(tables: dict[str, DataFrame]) -> DataFrame:
+def domains(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union_reports([domain(df, name) for name, df in tables.items()
                           if schemas.unsigned_columns(name) or schemas.length_limits(name)])
 

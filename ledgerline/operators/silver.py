@@ -7,15 +7,18 @@ tables through. Only the geolocation consolidation shuffles (on the zip).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import mean_coordinate, mode_of, round_money
+from ledgerline.tables import LazyTables, renamed
 
 
-def build_bronze(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build_bronze(sources: Mapping[str, DataFrame]) -> LazyTables:
     """Identity replica of the nine sources under ``bronze_`` names."""
-    return {f"bronze_{name}": df for name, df in sources.items()}
+    return renamed(sources, lambda name: f"bronze_{name}")
 
 
 def silver_geolocations(geolocation: DataFrame) -> DataFrame:
@@ -44,19 +47,21 @@ def silver_order_payments(order_payments: DataFrame) -> DataFrame:
     return order_payments.withColumn("payment_value", round_money("payment_value"))
 
 
-def build_silver(sources: dict[str, DataFrame], strip_prefix: bool = False) -> dict[str, DataFrame]:
-    """The nine Silver tables; ``strip_prefix`` drops the ``silver_`` names."""
-    tables = {
-        "silver_geolocations": silver_geolocations(sources["geolocation"]),
-        "silver_product_categories": sources["translation"],
-        "silver_customers": sources["customers"],
-        "silver_sellers": sources["sellers"],
-        "silver_products": sources["products"],
-        "silver_orders": sources["orders"],
-        "silver_order_items": silver_order_items(sources["order_items"]),
-        "silver_order_payments": silver_order_payments(sources["order_payments"]),
-        "silver_order_reviews": sources["order_reviews"],
+def build_silver(sources: Mapping[str, DataFrame], strip_prefix: bool = False) -> LazyTables:
+    """The nine Silver tables (built on access); ``strip_prefix`` drops the
+    ``silver_`` names."""
+    builders = {
+        "silver_geolocations": lambda: silver_geolocations(sources["geolocation"]),
+        "silver_product_categories": lambda: sources["translation"],
+        "silver_customers": lambda: sources["customers"],
+        "silver_sellers": lambda: sources["sellers"],
+        "silver_products": lambda: sources["products"],
+        "silver_orders": lambda: sources["orders"],
+        "silver_order_items": lambda: silver_order_items(sources["order_items"]),
+        "silver_order_payments": lambda: silver_order_payments(sources["order_payments"]),
+        "silver_order_reviews": lambda: sources["order_reviews"],
     }
+    tables = LazyTables(builders)
     if strip_prefix:
-        return {name.removeprefix("silver_"): df for name, df in tables.items()}
+        return renamed(tables, lambda name: name.removeprefix("silver_"))
     return tables

@@ -7,36 +7,39 @@ layers, like the persist path of the original job.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators import gold as gold_ops
 from ledgerline.operators import quality
 from ledgerline.operators.silver import build_bronze as _bronze
 from ledgerline.operators.silver import build_silver as _silver
+from ledgerline.tables import LazyTables, renamed
 
 
-def strip_layer(tables: dict[str, DataFrame], layer: str) -> dict[str, DataFrame]:
-    return {name.removeprefix(f"{layer}_"): df for name, df in tables.items()}
+def strip_layer(tables: Mapping[str, DataFrame], layer: str) -> Mapping[str, DataFrame]:
+    return renamed(tables, lambda name: name.removeprefix(f"{layer}_"))
 
 
-def build_bronze(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build_bronze(sources: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
     return _bronze(sources)
 
 
-def build_silver(sources: dict[str, DataFrame], strip_prefix: bool = False) -> dict[str, DataFrame]:
+def build_silver(sources: Mapping[str, DataFrame], strip_prefix: bool = False) -> Mapping[str, DataFrame]:
     return _silver(sources, strip_prefix=strip_prefix)
 
 
-def build_gold_from_silver(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build_gold_from_silver(silver: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
     return gold_ops.build_gold(strip_layer(silver, "silver"))
 
 
-def build_gold(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build_gold(sources: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
     return build_gold_from_silver(_silver(sources))
 
 
-def build_all(sources: dict[str, DataFrame], min_rows: int = 1000,
-              validate: bool = True) -> dict[str, DataFrame]:
+def build_all(sources: Mapping[str, DataFrame], min_rows: int = 1000,
+              validate: bool = True) -> Mapping[str, DataFrame]:
     """Bronze, Silver and Gold (24 tables), validating after each layer.
 
     Row-count floors raise; the other checks only report (as in the original
@@ -51,11 +54,13 @@ def build_all(sources: dict[str, DataFrame], min_rows: int = 1000,
     gold = build_gold_from_silver(silver)
     if validate:
         quality.enforce(quality.suite_gold(gold, min_rows=min_rows))
-    return {**bronze, **silver, **gold}
+    return LazyTables({**{n: (lambda n=n: bronze[n]) for n in bronze},
+                       **{n: (lambda n=n: silver[n]) for n in silver},
+                       **{n: (lambda n=n: gold[n]) for n in gold}})
 
 
-def run(spark: SparkSession, sources: dict[str, DataFrame], persist_root: str | None = None,
-        min_rows: int = 1000) -> dict[str, DataFrame]:
+def run(spark: SparkSession, sources: Mapping[str, DataFrame], persist_root: str | None = None,
+        min_rows: int = 1000) -> Mapping[str, DataFrame]:
     """Default entry: the six Gold tables (lazy). With ``persist_root`` all 24
     tables are written, validated and published as one run, and Gold is
     returned read back from it."""

@@ -4,7 +4,7 @@ DataFrame computed from the test tables in ``sf_dir``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +29,7 @@ def register(name: str):
     return wrap
 
 
-def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def silver_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """Un-prefixed Silver tables over the staged sources."""
     return S.build_silver(staging.load_sources(spark, sf_dir), strip_prefix=True)
 
@@ -258,7 +258,7 @@ def q_notebook_head_sort(spark, sf_dir):
 # --- data quality -----------------------------------------------------------------
 
 
-def all_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def all_layers(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     from ledgerline.plans.build import build_all
 
     return build_all(staging.load_sources(spark, sf_dir), validate=False)
@@ -390,7 +390,7 @@ def q_table_profile(spark, sf_dir):
     return Q.table_profile(G.gold_fct_orders(silver_tables(spark, sf_dir)), "gold_fct_orders")
 
 
-def _row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def _row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     from functools import reduce
 
     from pyspark.sql import functions as F

@@ -12,12 +12,14 @@ it back instead of recomputing it, which also cuts the lineage.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schemas
+from ledgerline.tables import LazyTables
 
 # ---------------------------------------------------------------------------
 # K4 / K5: conform
@@ -106,7 +108,7 @@ def _write(df: DataFrame, path: str, table: str) -> None:
     conform_types(df, table).write.mode("overwrite").parquet(path)
 
 
-def full_refresh(spark: SparkSession, sources: dict[str, DataFrame], root: str,
+def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: str,
                  layers: tuple[str, ...] = ("bronze", "silver", "gold"),
                  validate: bool = True, min_rows: int = 1000,
                  run_id: str | None = None) -> dict[str, DataFrame]:
@@ -130,6 +132,9 @@ def full_refresh(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     def written(table: str) -> DataFrame:
         return read_published(spark, root, table, run_id)
 
+    def written_layer(order: list[str], strip: str = "") -> LazyTables:
+        return LazyTables({t.removeprefix(strip): (lambda t=t: written(t)) for t in order})
+
     def write_layer(layer: str, frames: dict[str, DataFrame], order: list[str]) -> None:
         for table in order:
             path = _run_path(root, run_id, table)
@@ -140,38 +145,38 @@ def full_refresh(spark: SparkSession, sources: dict[str, DataFrame], root: str,
 
     write_layer("bronze", build_bronze(sources) if "bronze" in layers else {}, schemas.BRONZE_ORDER)
     if validate and "bronze" in layers:
-        quality.enforce(quality.suite_bronze({t: written(t) for t in schemas.BRONZE_ORDER}, min_rows))
+        quality.enforce(quality.suite_bronze(written_layer(schemas.BRONZE_ORDER), min_rows))
 
     write_layer("silver", build_silver(sources) if "silver" in layers else {}, schemas.SILVER_ORDER)
     if validate and "silver" in layers:
-        quality.enforce(quality.suite_silver({t: written(t) for t in schemas.SILVER_ORDER}))
+        quality.enforce(quality.suite_silver(written_layer(schemas.SILVER_ORDER)))
 
-    gold: dict[str, DataFrame] = {}
+    gold: Mapping[str, DataFrame] = {}
     if "gold" in layers:
         if "silver" in layers:
-            silver = {t.removeprefix("silver_"): written(t) for t in schemas.SILVER_ORDER}
+            silver = written_layer(schemas.SILVER_ORDER, "silver_")
         else:
             silver = build_silver(sources, strip_prefix=True)
         work = f"{root.rstrip('/')}/runs/{run_id}/_work/gold_fct_orders"
         gold_ops.gold_fct_orders(silver).write.mode("overwrite").parquet(work)
         fct = spark.read.parquet(work)
-        gold = {
-            "gold_dim_customers": gold_ops.gold_dim_customers(silver),
-            "gold_dim_products": gold_ops.gold_dim_products(silver),
-            "gold_dim_sellers": gold_ops.gold_dim_sellers(silver),
-            "gold_fct_orders": fct,
-            "gold_fct_order_items": gold_ops.gold_fct_order_items(silver, fct),
-            "gold_agg_sales_monthly": gold_ops.gold_agg_sales_monthly(fct),
-        }
+        gold = LazyTables({
+            "gold_dim_customers": lambda: gold_ops.gold_dim_customers(silver),
+            "gold_dim_products": lambda: gold_ops.gold_dim_products(silver),
+            "gold_dim_sellers": lambda: gold_ops.gold_dim_sellers(silver),
+            "gold_fct_orders": lambda: fct,
+            "gold_fct_order_items": lambda: gold_ops.gold_fct_order_items(silver, fct),
+            "gold_agg_sales_monthly": lambda: gold_ops.gold_agg_sales_monthly(fct),
+        })
     write_layer("gold", gold, schemas.GOLD_ORDER)
     if validate and "gold" in layers:
-        quality.enforce(quality.suite_gold({t: written(t) for t in schemas.GOLD_ORDER}, min_rows))
+        quality.enforce(quality.suite_gold(written_layer(schemas.GOLD_ORDER), min_rows))
 
     _publish(spark, root, run_id)
     return {t: written(t) for t in schemas.GOLD_ORDER}
 
 
-def layer_subset_refresh(spark: SparkSession, sources: dict[str, DataFrame], root: str,
+def layer_subset_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: str,
                          run_id: str | None = None) -> dict[str, DataFrame]:
     """K2: publish Bronze and Silver without checks; Gold is published empty.
     Returns Silver (un-prefixed) read back from the run."""
@@ -225,7 +230,7 @@ def write_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 1000,
 # ---------------------------------------------------------------------------
 
 
-def register_views(tables: dict[str, DataFrame], strip: str = "") -> list[str]:
+def register_views(tables: Mapping[str, DataFrame], strip: str = "") -> list[str]:
     """Register frames as temp views (replacing same-named ones)."""
     names = []
     for name, df in tables.items():

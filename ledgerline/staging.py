@@ -30,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.tables import LazyTables
+
 # Fixed values of the mapping.
 GEO_MISSING_NATION = 24          # nation whose zip has no geolocation rows
 GEO_NULL_ZIP_EVERY = 50          # every n-th customer's geolocation row has no zip
@@ -38,13 +40,31 @@ PAYMENTS_PER_ORDER = 3
 NULL_PAYMENT_TYPE = "error"      # event type mapped to a NULL payment type in the NULL-tie variant
 
 
+# Schemas of the test tables (fixed values; only the columns used are listed,
+# so the reader never infers a schema and never touches other columns).
+TEST_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+              "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_type string, p_size int",
+    "events": "event_id bigint, event_type string, value double, props string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "documents": "doc_id bigint, lang string, source string",
+}
+
+
 def read_test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table read with its declared columns (no schema inference); the
+    projections applied afterwards prune the scan further."""
+    return spark.read.schema(TEST_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def stage_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_test_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    orders = read_test_table(spark, sf_dir, "orders")
     ship = (read_test_table(spark, sf_dir, "lineitem")
             .groupBy("l_orderkey")
             .agg(F.min("l_shipdate").alias("carrier"), F.max("l_shipdate").alias("delivered")))
@@ -90,8 +110,8 @@ def stage_order_payments(spark: SparkSession, sf_dir: str, null_type: bool = Fal
 
 
 def stage_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = read_test_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    docs = read_test_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    labels = read_test_table(spark, sf_dir, "labels")
+    docs = read_test_table(spark, sf_dir, "documents")
     joined = labels.join(docs, "doc_id", "inner")
     return joined.select(
         F.col("doc_id").alias("review_id"),
@@ -179,6 +199,7 @@ def stage_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _STAGERS[name](spark, sf_dir)
 
 
-def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine source tables as lazy DataFrames (nothing is read yet)."""
-    return {name: stager(spark, sf_dir) for name, stager in _STAGERS.items()}
+def load_sources(spark: SparkSession, sf_dir: str) -> LazyTables:
+    """The nine source tables, each built on first access (nothing is read
+    until an action runs)."""
+    return LazyTables({name: (lambda s=stager: s(spark, sf_dir)) for name, stager in _STAGERS.items()})
