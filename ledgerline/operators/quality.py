@@ -3,9 +3,10 @@
 Every check returns a small report DataFrame with one row per checked column
 (or one per table):
 
-    table_name, check_name, column_name, failing, total, passed, severity
+    table_name, check_name, column_name, failing, total, failing_pct, passed, severity
 
-``failing`` counts offending rows (for a row-count check, the shortfall);
+``failing`` counts offending rows (for a row-count check, the shortfall) and
+``failing_pct`` is its share of ``total`` in percent;
 ``failing`` is NULL when the checked column does not exist, which fails the
 check. Each check is one aggregation pass over its table (duplicate and
 foreign-key checks add one shuffle on the key, with map-side pre-aggregation),
@@ -33,6 +34,7 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("column_name", T.StringType()),
     T.StructField("failing", T.LongType()),
     T.StructField("total", T.LongType()),
+    T.StructField("failing_pct", T.DoubleType()),
     T.StructField("passed", T.BooleanType()),
     T.StructField("severity", T.StringType()),
 ])
@@ -44,6 +46,7 @@ WARN = "warn"
 def _row(table: str, check: str, column: str | None, failing: Column, total: Column,
          severity: str, passed: Column | None = None) -> Column:
     failing = failing.cast("long")
+    total = total.cast("long")
     if passed is None:
         passed = F.coalesce(failing == 0, F.lit(False))
     return F.struct(
@@ -51,7 +54,8 @@ def _row(table: str, check: str, column: str | None, failing: Column, total: Col
         F.lit(check).alias("check_name"),
         F.lit(column).cast("string").alias("column_name"),
         failing.alias("failing"),
-        total.cast("long").alias("total"),
+        total.alias("total"),
+        F.when(total > 0, failing.cast("double") * 100.0 / total).alias("failing_pct"),
         passed.alias("passed"),
         F.lit(severity).alias("severity"),
     )
