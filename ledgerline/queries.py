@@ -4,14 +4,25 @@ DataFrame computed from the test tables in ``sf_dir``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerline import staging
+from ledgerline import schemas, staging
+from ledgerline.functions import guarded_ratio, mode_of
 from ledgerline.operators import gold as G
+from ledgerline.operators import notebook as N
+from ledgerline.operators import quality as Q
 from ledgerline.operators import silver as S
-from ledgerline.session import apply_sql_defaults
+from ledgerline.plans.build import build_all
+from ledgerline.session import apply_sql_defaults, scratch_path
+from ledgerline.sinks import writers
+from ledgerline.sinks.writers import conform_columns, conform_types, register_views
+from ledgerline.sources import landing, readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,8 +111,6 @@ def q_silver_geolocations(spark, sf_dir):
 def q_agg_mode(spark, sf_dir):
     """V3: deterministic mode of the payment type per order (nulls skipped,
     ties to the smallest, all-null -> NULL)."""
-    from ledgerline.functions import mode_of
-
     return payments_with_null_type(spark, sf_dir).groupBy("order_id").agg(
         mode_of("payment_type").alias("payment_type_mode"))
 
@@ -169,9 +178,6 @@ def q_fn_late_flag(spark, sf_dir):
 @register("fn_guarded_ratio")
 def q_fn_guarded_ratio(spark, sf_dir):
     """On-time rate per customer, NULL when nothing was delivered."""
-    from pyspark.sql import functions as F
-
-    from ledgerline.functions import guarded_ratio
 
     late = F.col("is_delivered_late")
     return orders_with_measures(spark, sf_dir).groupBy("customer_id").agg(
@@ -183,8 +189,6 @@ def q_fn_guarded_ratio(spark, sf_dir):
 @register("notebook_intervals")
 def q_notebook_intervals(spark, sf_dir):
     """The notebook's signed order intervals, in microseconds."""
-    from ledgerline.operators import notebook as N
-
     return N.order_intervals(staged(spark, sf_dir, "orders"))
 
 
@@ -200,8 +204,6 @@ def q_join_ranked_condition(spark, sf_dir):
 @register("notebook_shipping_join")
 def q_notebook_shipping_join(spark, sf_dir):
     """Items with the order's carrier date and the shipping margin."""
-    from ledgerline.operators import notebook as N
-
     return N.shipping_join(staged(spark, sf_dir, "order_items"), staged(spark, sf_dir, "orders"))
 
 
@@ -235,8 +237,6 @@ def q_agg_payment_type_counts(spark, sf_dir):
 @register("notebook_payments")
 def q_notebook_payments(spark, sf_dir):
     """Notebook payment summary with the first non-null type by sequence."""
-    from ledgerline.operators import notebook as N
-
     return N.payments_summary(staging.stage_order_payments(spark, sf_dir, null_type=True))
 
 
@@ -249,8 +249,6 @@ def q_window_payment_rank(spark, sf_dir):
 @register("notebook_head_sort")
 def q_notebook_head_sort(spark, sf_dir):
     """L1: first five orders of the payment summary, shown by installments."""
-    from ledgerline.operators import notebook as N
-
     return N.head_sorted(N.payments_summary(
         staging.stage_order_payments(spark, sf_dir, null_type=True)), 5)
 
@@ -259,16 +257,12 @@ def q_notebook_head_sort(spark, sf_dir):
 
 
 def all_layers(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
-    from ledgerline.plans.build import build_all
-
     return build_all(staging.load_sources(spark, sf_dir), validate=False)
 
 
 @register("dq_no_nulls")
 def q_dq_no_nulls(spark, sf_dir):
     """Q1: null counts per column of the order fact (incl. a missing column)."""
-    from ledgerline.operators import quality as Q
-
     fct = G.gold_fct_orders(silver_tables(spark, sf_dir))
     return Q.no_nulls(fct, ["order_id", "order_delivered_carrier_date", "payment_value_total",
                             "review_count", "no_such_column"], "gold_fct_orders")
@@ -277,8 +271,6 @@ def q_dq_no_nulls(spark, sf_dir):
 @register("dq_row_count")
 def q_dq_row_count(spark, sf_dir):
     """Q2: row floors (one passing, one failing)."""
-    from ledgerline.operators import quality as Q
-
     return Q.union_reports([
         Q.row_count(staged(spark, sf_dir, "order_items"), 1000, "bronze_order_items"),
         Q.row_count(S.silver_geolocations(staged(spark, sf_dir, "geolocation")), 1000,
@@ -289,8 +281,6 @@ def q_dq_row_count(spark, sf_dir):
 @register("dq_no_duplicates")
 def q_dq_no_duplicates(spark, sf_dir):
     """Q3: excess rows per key; NULL keys equal; absent key columns."""
-    from ledgerline.operators import quality as Q
-
     return Q.union_reports([
         Q.no_duplicates(staged(spark, sf_dir, "order_items"), ["order_id", "order_item_id"],
                         "bronze_order_items"),
@@ -305,8 +295,6 @@ def q_dq_no_duplicates(spark, sf_dir):
 @register("dq_value_range")
 def q_dq_value_range(spark, sf_dir):
     """Q4: inclusive ranges, open bounds, nulls ignored, missing column."""
-    from ledgerline.operators import quality as Q
-
     items = S.silver_order_items(staged(spark, sf_dir, "order_items"))
     orders = orders_with_measures(spark, sf_dir)
     payments = S.silver_order_payments(staged(spark, sf_dir, "order_payments"))
@@ -321,81 +309,59 @@ def q_dq_value_range(spark, sf_dir):
 @register("dq_suite_bronze")
 def q_dq_suite_bronze(spark, sf_dir):
     """Q5: Bronze suite."""
-    from ledgerline.operators import quality as Q
-
     return Q.suite_bronze(S.build_bronze(staging.load_sources(spark, sf_dir)))
 
 
 @register("dq_suite_silver")
 def q_dq_suite_silver(spark, sf_dir):
     """Q5: Silver suite."""
-    from ledgerline.operators import quality as Q
-
     return Q.suite_silver(S.build_silver(staging.load_sources(spark, sf_dir)))
 
 
 @register("dq_suite_gold")
 def q_dq_suite_gold(spark, sf_dir):
     """Q5: Gold suite."""
-    from ledgerline.operators import quality as Q
-
     return Q.suite_gold(G.build_gold(silver_tables(spark, sf_dir)))
 
 
 @register("dq_primary_keys")
 def q_dq_primary_keys(spark, sf_dir):
     """Q6: declared primary keys of all 24 tables."""
-    from ledgerline.operators import quality as Q
-
     return Q.primary_keys(all_layers(spark, sf_dir))
 
 
 @register("dq_foreign_keys")
 def q_dq_foreign_keys(spark, sf_dir):
     """Q7: the 13 declared foreign keys (orphan counts)."""
-    from ledgerline.operators import quality as Q
-
     return Q.foreign_keys(all_layers(spark, sf_dir))
 
 
 @register("dq_relationships")
 def q_dq_relationships(spark, sf_dir):
     """E5: orphan counts along the nine source relationships."""
-    from ledgerline.operators import quality as Q
-
     return Q.relationships(staging.load_sources(spark, sf_dir))
 
 
 @register("dq_not_null")
 def q_dq_not_null(spark, sf_dir):
     """Q8: NOT NULL columns of all 24 tables."""
-    from ledgerline.operators import quality as Q
-
     return Q.not_null(all_layers(spark, sf_dir))
 
 
 @register("dq_domain")
 def q_dq_domain(spark, sf_dir):
     """Q9: UNSIGNED and text-length limits of all 24 tables."""
-    from ledgerline.operators import quality as Q
-
     return Q.domains(all_layers(spark, sf_dir))
 
 
 @register("table_profile")
 def q_table_profile(spark, sf_dir):
     """Q10: rows, columns and non-null counts of the order fact."""
-    from ledgerline.operators import quality as Q
-
     return Q.table_profile(G.gold_fct_orders(silver_tables(spark, sf_dir)), "gold_fct_orders")
 
 
 def _row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    from functools import reduce
 
-    from pyspark.sql import functions as F
-
-    from ledgerline import schemas
 
     parts = [tables[t].agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(t).alias("table_name"), F.lit(schemas.layer_of(t)).alias("layer"),
@@ -406,8 +372,6 @@ def _row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 @register("layer_row_counts")
 def q_layer_row_counts(spark, sf_dir):
     """The validated full build (24 tables); row count per table."""
-    from ledgerline.plans.build import build_all
-
     return _row_counts(build_all(staging.load_sources(spark, sf_dir), validate=True))
 
 
@@ -415,8 +379,6 @@ def q_layer_row_counts(spark, sf_dir):
 
 
 def _text_timestamps(df: DataFrame):
-    from pyspark.sql import types as T
-
     return T.StructType([T.StructField(f.name, T.StringType() if isinstance(
         f.dataType, T.TimestampNTZType) else f.dataType, True) for f in df.schema.fields])
 
@@ -424,10 +386,6 @@ def _text_timestamps(df: DataFrame):
 @register("scan_csv")
 def q_scan_csv(spark, sf_dir):
     """S1 (+S9): orders landed as CSV text, read with a schema, timestamps coerced."""
-    from ledgerline import schemas
-    from ledgerline.session import scratch_path
-    from ledgerline.sources import landing, readers
-
     path = scratch_path(spark, "scan_csv")
     orders = staged(spark, sf_dir, "orders")
     landing.write_csv(orders, path)
@@ -438,9 +396,6 @@ def q_scan_csv(spark, sf_dir):
 @register("scan_json")
 def q_scan_json(spark, sf_dir):
     """Payments landed as JSON Lines and read with a schema."""
-    from ledgerline.session import scratch_path
-    from ledgerline.sources import landing, readers
-
     path = scratch_path(spark, "scan_json")
     payments = staged(spark, sf_dir, "order_payments")
     landing.write_json_lines(payments, path)
@@ -450,9 +405,6 @@ def q_scan_json(spark, sf_dir):
 @register("scan_parquet")
 def q_scan_parquet(spark, sf_dir):
     """S3: items landed as Parquet and read back."""
-    from ledgerline.session import scratch_path
-    from ledgerline.sources import readers
-
     path = scratch_path(spark, "scan_parquet")
     staged(spark, sf_dir, "order_items").write.mode("overwrite").parquet(path)
     return readers.read_parquet(spark, path)
@@ -461,9 +413,6 @@ def q_scan_parquet(spark, sf_dir):
 @register("scan_json_envelope")
 def q_scan_json_envelope(spark, sf_dir):
     """Payments landed as paged {"value": [...]} envelopes and unwrapped."""
-    from ledgerline.session import scratch_path
-    from ledgerline.sources import landing, readers
-
     path = scratch_path(spark, "scan_json_envelope")
     payments = staged(spark, sf_dir, "order_payments")
     landing.write_json_envelopes(payments, path, page_size=1000)
@@ -473,9 +422,6 @@ def q_scan_json_envelope(spark, sf_dir):
 @register("scan_by_suffix")
 def q_scan_by_suffix(spark, sf_dir):
     """The reader is chosen from the path suffix (.csv here)."""
-    from ledgerline.session import scratch_path
-    from ledgerline.sources import landing, readers
-
     path = scratch_path(spark, "scan_by_suffix") + "/order_items.CSV"
     items = staged(spark, sf_dir, "order_items")
     landing.write_csv(items, path)
@@ -485,9 +431,6 @@ def q_scan_by_suffix(spark, sf_dir):
 @register("scan_newest_file")
 def q_scan_newest_file(spark, sf_dir):
     """The newest landed dataset wins; an ignored folder is skipped."""
-    from ledgerline.session import scratch_path
-    from ledgerline.sources import readers
-
     root = scratch_path(spark, "scan_newest")
     staged(spark, sf_dir, "sellers").write.parquet(f"{root}/v1")
     staged(spark, sf_dir, "orders").write.parquet(f"{root}/v2")
@@ -500,12 +443,7 @@ def q_scan_newest_file(spark, sf_dir):
 def q_load_dataset(spark, sf_dir):
     """Nine landed files checked for existence together, then read;
     row count per table."""
-    from functools import reduce
-
-    from pyspark.sql import functions as F
 
-    from ledgerline.session import scratch_path
-    from ledgerline.sources import readers
 
     base = scratch_path(spark, "load_dataset")
     files = {name: f"{name}.parquet" for name in staging.load_sources(spark, sf_dir)}
@@ -520,9 +458,6 @@ def q_load_dataset(spark, sf_dir):
 @register("scan_csv_latin1")
 def q_scan_csv_latin1(spark, sf_dir):
     """Customers landed as ISO-8859-1 CSV and decoded."""
-    from ledgerline.session import scratch_path
-    from ledgerline.sources import landing, readers
-
     path = scratch_path(spark, "scan_csv_latin1")
     customers = staged(spark, sf_dir, "customers")
     landing.write_csv(customers, path, encoding="ISO-8859-1")
@@ -532,10 +467,6 @@ def q_scan_csv_latin1(spark, sf_dir):
 @register("coerce_timestamps")
 def q_coerce_timestamps(spark, sf_dir):
     """Text timestamps parsed; unparseable or empty text becomes NULL."""
-    from pyspark.sql import functions as F
-
-    from ledgerline import schemas
-    from ledgerline.sources import readers
 
     orders = staged(spark, sf_dir, "orders")
     ts_cols = schemas.TIMESTAMP_COLUMNS["orders"]
@@ -552,9 +483,6 @@ def q_coerce_timestamps(spark, sf_dir):
 @register("normalize_null_tokens")
 def q_normalize_null_tokens(spark, sf_dir):
     """Missing-value tokens in text columns become NULL."""
-    from pyspark.sql import functions as F
-
-    from ledgerline.sources import readers
 
     c = F.col("customer_id") % 10
     city = (F.when(c == 0, "NA").when(c == 1, "null").when(c == 2, "").when(c == 3, "None")
@@ -569,9 +497,6 @@ def q_normalize_null_tokens(spark, sf_dir):
 @register("conform_columns")
 def q_conform_columns(spark, sf_dir):
     """K4: reordered orders with an extra column, projected to the declared list."""
-    from pyspark.sql import functions as F
-
-    from ledgerline.sinks.writers import conform_columns
 
     orders = staged(spark, sf_dir, "orders")
     shuffled = orders.select(*reversed(orders.columns), F.lit("x").alias("extra_column"))
@@ -581,8 +506,6 @@ def q_conform_columns(spark, sf_dir):
 @register("conform_types")
 def q_conform_types(spark, sf_dir):
     """K5: the order fact cast to its declared sink types."""
-    from ledgerline.sinks.writers import conform_types
-
     return conform_types(G.gold_fct_orders(silver_tables(spark, sf_dir)), "gold_fct_orders")
 
 
@@ -590,10 +513,6 @@ def q_conform_types(spark, sf_dir):
 def q_create_layer_tables(spark, sf_dir):
     """K6: layer databases and tables created (twice: idempotent), the customer
     dimension loaded by full refresh and read back from the catalog."""
-    import uuid
-
-    from ledgerline.session import scratch_path
-    from ledgerline.sinks import writers
 
     root = scratch_path(spark, "catalog")
     prefix = f"ledgerline_{uuid.uuid4().hex[:8]}"
@@ -608,8 +527,6 @@ def q_create_layer_tables(spark, sf_dir):
 @register("register_views")
 def q_register_views(spark, sf_dir):
     """K7: Silver registered as SQL views; the item summary written in SQL."""
-    from ledgerline.sinks.writers import register_views
-
     register_views(S.build_silver(staging.load_sources(spark, sf_dir)), strip="silver_")
     return spark.sql("""
         SELECT order_id,
@@ -628,9 +545,6 @@ def q_register_views(spark, sf_dir):
 def q_sink_full_refresh(spark, sf_dir):
     """K1: all 24 tables written, validated and published as one run; row
     counts read back from the published run."""
-    from ledgerline.session import scratch_path
-    from ledgerline.sinks import writers
-
     root = scratch_path(spark, "published")
     writers.full_refresh(spark, staging.load_sources(spark, sf_dir), root)
     return writers.published_row_counts(spark, root)
@@ -639,9 +553,6 @@ def q_sink_full_refresh(spark, sf_dir):
 @register("sink_layer_subset")
 def q_sink_layer_subset(spark, sf_dir):
     """K2: Bronze and Silver published, Gold published empty."""
-    from ledgerline.session import scratch_path
-    from ledgerline.sinks import writers
-
     root = scratch_path(spark, "published_subset")
     writers.layer_subset_refresh(spark, staging.load_sources(spark, sf_dir), root)
     return writers.published_row_counts(spark, root)

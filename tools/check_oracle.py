@@ -42,13 +42,28 @@ def rows_of(names, rows):
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--plain-session", action="store_true",
+                    help="use a bare SparkSession like the driver (no ledgerline defaults)")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
 
-    import __spark_entry__ as E
-    from ledgerline.session import get_session
+    import importlib.util
 
-    spark = get_session("local[8]", shuffle_partitions=8)
+    entry_path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                              "__spark_entry__.py")
+    spec = importlib.util.spec_from_file_location("spark_entry_under_test", entry_path)
+    E = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(E)
+
+    if args.plain_session:
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        from ledgerline.session import get_session
+
+        spark = get_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
