@@ -163,7 +163,9 @@ SOURCE_NAMES = [name.removeprefix("bronze_") for name in BRONZE]
 
 # Raw text schemas used when a source arrives as CSV/JSON: timestamps stay text
 # until coerced (unparseable -> NULL), numbers are read as the loose types a
-# text reader produces (money and coordinates as double).
+# text reader produces (money and coordinates as double). Integer columns are
+# read as double too, because exports write integers with gaps as "12.0";
+# ``restore_integers`` casts them back.
 _RAW_OVERRIDES = {"price": T.DoubleType(), "freight_value": T.DoubleType(),
                   "payment_value": T.DoubleType(), "geolocation_lat": T.DoubleType(),
                   "geolocation_lng": T.DoubleType()}
@@ -175,12 +177,20 @@ def raw_schema(source: str) -> T.StructType:
     for f in BRONZE[f"bronze_{source}"].fields:
         if isinstance(f.dataType, T.TimestampNTZType):
             dtype: T.DataType = T.StringType()
+        elif isinstance(f.dataType, T.IntegerType):
+            dtype = T.DoubleType()
         else:
             dtype = _RAW_OVERRIDES.get(f.name, f.dataType)
         fields.append(T.StructField(f.name, dtype, True))
     return T.StructType(fields)
 
 
+INTEGER_COLUMNS = {
+    source: [f.name for f in BRONZE[f"bronze_{source}"].fields
+             if isinstance(f.dataType, T.IntegerType)]
+    for source in SOURCE_NAMES
+}
+
 TIMESTAMP_COLUMNS = {
     source: [f.name for f in BRONZE[f"bronze_{source}"].fields
              if isinstance(f.dataType, T.TimestampNTZType)]

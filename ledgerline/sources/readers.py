@@ -164,6 +164,14 @@ def coerce_timestamps(df: DataFrame, cols: list[str]) -> DataFrame:
                            if c in df.columns})
 
 
+def restore_integers(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Integer columns read as double (``"12.0"``) back to integers. A value
+    out of the integer range becomes NULL instead of failing the job; a
+    fraction is truncated."""
+    return df.withColumns({c: F.col(c).try_cast("int") for c in cols
+                           if c in df.columns and dict(df.dtypes)[c] != "int"})
+
+
 def normalize_null_tokens(df: DataFrame, tokens: list[str] | None = None) -> DataFrame:
     """Missing-value tokens in text columns become NULL (one projection)."""
     tokens = NULL_TOKENS if tokens is None else tokens
@@ -185,5 +193,6 @@ def load_dataset(spark: SparkSession, base: str, files: dict[str, str],
         if schema is None and suffix_of(fname) != ".parquet":
             schema = schemas.raw_schema(name)
         df = read_by_suffix(spark, f"{base}/{fname}", schema)
+        df = restore_integers(df, schemas.INTEGER_COLUMNS.get(name, []))
         tables[name] = coerce_timestamps(df, schemas.TIMESTAMP_COLUMNS.get(name, []))
     return tables

@@ -122,3 +122,27 @@ def test_raw_schema_keeps_timestamps_as_text():
     assert dict((f.name, f.dataType) for f in raw.fields)["order_approved_at"] == T.StringType()
     assert dict((f.name, f.dataType) for f in schemas.raw_schema("order_items").fields)[
         "price"] == T.DoubleType()
+
+
+def test_load_dataset_from_csv_restores_types(spark):
+    base = scratch_path(spark, "csv_dataset")
+    local = to_local_path(base)
+    os.makedirs(local, exist_ok=True)
+    with open(os.path.join(local, "sellers.csv"), "w", encoding="utf-8") as fh:
+        fh.write("seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+                 "s1,1310.0,Sao Paulo,SP\ns2,,Rio,RJ\n")
+    with open(os.path.join(local, "orders.csv"), "w", encoding="utf-8") as fh:
+        fh.write("order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,"
+                 "order_delivered_carrier_date,order_delivered_customer_date,"
+                 "order_estimated_delivery_date\n"
+                 "o1,c1,delivered,2022-01-01 10:00:00,not a date,,2022-01-10 15:00:00,"
+                 "2022-01-15 00:00:00\n")
+    tables = readers.load_dataset(spark, base, {"sellers": "sellers.csv", "orders": "orders.csv"})
+    sellers = {r.seller_id: r for r in tables["sellers"].collect()}
+    assert sellers["s1"].seller_zip_code_prefix == 1310
+    assert sellers["s2"].seller_zip_code_prefix is None
+    assert dict(tables["sellers"].dtypes)["seller_zip_code_prefix"] == "int"
+    order = tables["orders"].first()
+    assert order.order_purchase_timestamp == dt.datetime(2022, 1, 1, 10)
+    assert order.order_approved_at is None and order.order_delivered_carrier_date is None
+    assert dict(tables["orders"].dtypes)["order_approved_at"] == "timestamp_ntz"
