@@ -15,6 +15,7 @@ from ledgerline.operators import gold as gold_ops
 from ledgerline.operators import quality
 from ledgerline.operators.silver import build_bronze as _bronze
 from ledgerline.operators.silver import build_silver as _silver
+from ledgerline.session import input_bytes, size_shuffle_partitions
 from ledgerline.tables import LazyTables, renamed
 
 
@@ -60,10 +61,14 @@ def build_all(sources: Mapping[str, DataFrame], min_rows: int = 1000,
 
 
 def run(spark: SparkSession, sources: Mapping[str, DataFrame], persist_root: str | None = None,
-        min_rows: int = 1000) -> Mapping[str, DataFrame]:
+        min_rows: int = 1000, size_partitions: bool = False) -> Mapping[str, DataFrame]:
     """Default entry: the six Gold tables (lazy). With ``persist_root`` all 24
     tables are written, validated and published as one run, and Gold is
-    returned read back from it."""
+    returned read back from it. ``size_partitions`` sets the shuffle partition
+    count from the total size of the source files first."""
+    if size_partitions:
+        files = sorted({f for df in sources.values() for f in df.inputFiles()})
+        size_shuffle_partitions(spark, input_bytes(spark, files))
     if persist_root is None:
         return build_gold(sources)
     from ledgerline.sinks.writers import full_refresh

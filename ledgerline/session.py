@@ -99,3 +99,30 @@ def to_local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.normpath(path)
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(p)
+        total += int(hpath.getFileSystem(conf).getContentSummary(hpath).getLength())
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, total_input_bytes: int,
+                            target_bytes: int = 256 << 20, max_partitions: int = 100_000) -> int:
+    """Set the initial shuffle partition count from the input size.
+
+    One partition per ``target_bytes`` of input (on-disk, so decoded shuffle
+    blocks stay well inside executor memory), at least two per core, at most
+    ``max_partitions``. AQE then coalesces small partitions at runtime and
+    splits skewed ones, so the number only has to be large enough.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = max(cores * 2, min(max_partitions, -(-total_input_bytes // target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n

@@ -83,3 +83,19 @@ def test_register_views(spark, raw_tables):
     names = writers.register_views(build_silver(raw_tables), strip="silver_")
     assert "orders" in names
     assert spark.sql("SELECT COUNT(*) AS n FROM orders").first().n == 4
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from ledgerline.session import input_bytes, size_shuffle_partitions
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        size = input_bytes(spark, ["/root/testdata/sf0.01/lineitem.parquet"])
+        assert size > 0
+        cores = spark.sparkContext.defaultParallelism
+        assert size_shuffle_partitions(spark, size) == cores * 2          # small input
+        assert size_shuffle_partitions(spark, 100 << 40) == 100_000        # 100 TB, capped
+        assert size_shuffle_partitions(spark, 10 << 30) == 40               # 10 GiB / 256 MiB
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
