@@ -11,6 +11,8 @@ import __spark_entry__ as E
 from tools.check_oracle import TABLES, rows_of
 
 SF = os.environ.get("LEDGERLINE_ORACLE_SF", "/root/testdata/sf0.001")
+DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+              "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not available")
 
 
@@ -38,6 +40,9 @@ def test_query_matches_oracle(spark, duck, name):
     d_names = [c[0] for c in cur.description]
     d_rows = cur.fetchall()
     assert sorted(s_names) == sorted(d_names)
+    d_types = {c[0]: str(c[1]) for c in cur.description}
+    for col, spark_type in df.dtypes:
+        assert d_types[col] == DUCK_TYPES.get(spark_type, spark_type.upper()), col
     assert len(s_rows) == len(d_rows)
     assert rows_of(s_names, s_rows) == rows_of(d_names, d_rows)
 
