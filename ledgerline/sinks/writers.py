@@ -84,6 +84,8 @@ def insert_full_refresh(df: DataFrame, qualified_table: str, table: str) -> None
 # ---------------------------------------------------------------------------
 
 POINTER = "_CURRENT"
+# Sources whose Bronze copy is rounded by the sink types before Silver needs them.
+FULL_PRECISION_SOURCES = {"geolocation"}
 
 
 def _run_path(root: str, run_id: str, table: str) -> str:
@@ -114,9 +116,10 @@ def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
                  run_id: str | None = None) -> dict[str, DataFrame]:
     """K1: build and write every table of ``layers`` as a new run, then publish.
 
-    Order: Bronze is written and checked, then Silver, then Gold. Each suite
-    reads the tables just written (column-pruned Parquet), so nothing is
-    recomputed for validation; a failing row-count floor raises before the
+    Order: Bronze is written and checked, then Silver (built from the written
+    Bronze), then Gold (built from the written Silver). Each suite reads the
+    tables just written (column-pruned Parquet), so nothing is recomputed for
+    validation; a failing row-count floor raises before the
     pointer moves, leaving the previous run published. Gold is built from the
     written Silver tables, and the order fact is kept once in working types so
     the item fact and the monthly aggregate read it instead of recomputing it.
@@ -147,7 +150,18 @@ def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
     if validate and "bronze" in layers:
         quality.enforce(quality.suite_bronze(written_layer(schemas.BRONZE_ORDER), min_rows))
 
-    write_layer("silver", build_silver(sources) if "silver" in layers else {}, schemas.SILVER_ORDER)
+    # Silver reads the written Bronze (parsed once, columnar, pruned), except
+    # geolocation: Bronze keeps coordinates at 7 places and the per-zip mean
+    # must use the full-precision inputs.
+    if "bronze" in layers:
+        silver_inputs: Mapping[str, DataFrame] = LazyTables({
+            n: (lambda n=n: sources[n] if n in FULL_PRECISION_SOURCES
+                else written(f"bronze_{n}"))
+            for n in sources})
+    else:
+        silver_inputs = sources
+    write_layer("silver", build_silver(silver_inputs) if "silver" in layers else {},
+                schemas.SILVER_ORDER)
     if validate and "silver" in layers:
         quality.enforce(quality.suite_silver(written_layer(schemas.SILVER_ORDER)))
 
