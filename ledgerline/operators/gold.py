@@ -49,7 +49,7 @@ from ledgerline.tables import LazyTables
 # ---------------------------------------------------------------------------
 
 
-def items_prepared(order_items: DataFrame) -> DataFrame:
+def with_item_total(order_items: DataFrame) -> DataFrame:
     """All item rows with ``item_total_value = price + freight_value``."""
     return order_items.withColumn(
         "item_total_value", round_money(F.col("price") + F.col("freight_value")))
@@ -57,7 +57,7 @@ def items_prepared(order_items: DataFrame) -> DataFrame:
 
 def agg_items(order_items: DataFrame) -> DataFrame:
     """Items per order: line count, distinct products/sellers, money sums."""
-    items = items_prepared(order_items)
+    items = with_item_total(order_items)
     return items.groupBy("order_id").agg(
         F.count("order_item_id").alias("items_count"),
         F.countDistinct("product_id").alias("products_count"),
@@ -194,7 +194,7 @@ def gold_fct_order_items(tables: Mapping[str, DataFrame], fct_orders: DataFrame
     if fct_orders is None:
         fct_orders = order_measures(tables["orders"])
     order_side = fct_orders.select("order_id", *_ORDER_COLUMNS_FOR_ITEMS)
-    items = items_prepared(tables["order_items"])
+    items = with_item_total(tables["order_items"])
     joined = items.join(order_side, "order_id", "left")
     return joined.withColumn(
         "shipping_accuracy_days",

@@ -140,7 +140,7 @@ def q_silver_passthrough(spark, sf_dir):
 @register("item_total_value")
 def q_item_total_value(spark, sf_dir):
     """Every item row with price + freight."""
-    return G.items_prepared(S.silver_order_items(staged(spark, sf_dir, "order_items")))
+    return G.with_item_total(S.silver_order_items(staged(spark, sf_dir, "order_items")))
 
 
 @register("fn_day_diff")
