@@ -217,3 +217,12 @@ def test_null_purchase_date_forms_its_own_month(spark, raw_tables):
     monthly = G.gold_agg_sales_monthly(G.gold_fct_orders(silver)).collect()
     months = {r["purchase_year_month"] for r in monthly}
     assert months == {"2022-01", None}
+
+
+def test_monthly_with_proven_unique_orders_matches_distinct(gold_tables):
+    from ledgerline.operators import gold as G
+
+    fct = gold_tables["gold_fct_orders"]
+    a = sorted(G.gold_agg_sales_monthly(fct).collect())
+    b = sorted(G.gold_agg_sales_monthly(fct, unique_order_ids=True).collect())
+    assert a == b
