@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 
 from ledgerline.functions import day_diff, mode_of, sum_money
 from ledgerline.operators import gold as G
+from ledgerline.operators import quality as Q
 
 SETTINGS = settings(max_examples=15, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -96,3 +97,48 @@ def test_day_diff_matches_python(spark, a, b):
     delta = a - b
     micros = (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
     assert got == micros / 86_400_000_000.0
+
+
+keys = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)),
+                          st.one_of(st.none(), st.sampled_from(["x", "y"]))),
+                min_size=0, max_size=30)
+
+
+@SETTINGS
+@given(rows=keys)
+def test_no_duplicates_matches_brute_force(spark, rows):
+    from ledgerline.operators import quality as Q
+
+    df = spark.createDataFrame(rows, "a int, b string")
+    r = Q.no_duplicates(df, ["a", "b"], "t").first()
+    counts = collections.Counter(rows)
+    assert r.failing == sum(c - 1 for c in counts.values())
+    assert r.total == len(rows)
+    assert r.passed == (r.failing == 0)
+
+
+@SETTINGS
+@given(values=st.lists(st.one_of(st.none(), st.floats(-5, 5, allow_nan=False)), max_size=30),
+       lo=st.one_of(st.none(), st.integers(-3, 0)), hi=st.one_of(st.none(), st.integers(0, 3)))
+def test_value_range_matches_brute_force(spark, values, lo, hi):
+    from ledgerline.operators import quality as Q
+
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    r = Q.value_range(df, "v", lo, hi, "t").first()
+    bad = sum(1 for v in values if v is not None and
+              ((lo is not None and v < lo) or (hi is not None and v > hi)))
+    assert (r.failing, r.total) == (bad, len(values))
+
+
+@SETTINGS
+@given(child=st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=30),
+       parent=st.lists(st.integers(0, 6), max_size=10))
+def test_foreign_key_orphans_match_brute_force(spark, child, parent):
+    from ledgerline.operators import quality as Q
+
+    c = spark.createDataFrame([(v,) for v in child], "k int")
+    p = spark.createDataFrame([(v,) for v in parent], "k int")
+    r = Q.foreign_key(c, "k", p, "k", "c", "p").first()
+    present = [v for v in child if v is not None]
+    assert r.failing == sum(1 for v in present if v not in set(parent))
+    assert r.total == len(present)
