@@ -107,8 +107,6 @@ keys = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)),
 @SETTINGS
 @given(rows=keys)
 def test_no_duplicates_matches_brute_force(spark, rows):
-    from ledgerline.operators import quality as Q
-
     df = spark.createDataFrame(rows, "a int, b string")
     r = Q.no_duplicates(df, ["a", "b"], "t").first()
     counts = collections.Counter(rows)
@@ -121,8 +119,6 @@ def test_no_duplicates_matches_brute_force(spark, rows):
 @given(values=st.lists(st.one_of(st.none(), st.floats(-5, 5, allow_nan=False)), max_size=30),
        lo=st.one_of(st.none(), st.integers(-3, 0)), hi=st.one_of(st.none(), st.integers(0, 3)))
 def test_value_range_matches_brute_force(spark, values, lo, hi):
-    from ledgerline.operators import quality as Q
-
     df = spark.createDataFrame([(v,) for v in values], "v double")
     r = Q.value_range(df, "v", lo, hi, "t").first()
     bad = sum(1 for v in values if v is not None and
@@ -134,8 +130,6 @@ def test_value_range_matches_brute_force(spark, values, lo, hi):
 @given(child=st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=30),
        parent=st.lists(st.integers(0, 6), max_size=10))
 def test_foreign_key_orphans_match_brute_force(spark, child, parent):
-    from ledgerline.operators import quality as Q
-
     c = spark.createDataFrame([(v,) for v in child], "k int")
     p = spark.createDataFrame([(v,) for v in parent], "k int")
     r = Q.foreign_key(c, "k", p, "k", "c", "p").first()
