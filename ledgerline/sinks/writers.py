@@ -12,6 +12,7 @@ it back instead of recomputing it, which also cuts the lineage.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,7 +114,7 @@ def _write(df: DataFrame, path: str, table: str) -> None:
 def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: str,
                  layers: tuple[str, ...] = ("bronze", "silver", "gold"),
                  validate: bool = True, min_rows: int = 1000,
-                 run_id: str | None = None) -> dict[str, DataFrame]:
+                 run_id: str | None = None, parallel_writes: int = 4) -> dict[str, DataFrame]:
     """K1: build and write every table of ``layers`` as a new run, then publish.
 
     Order: Bronze is written and checked, then Silver (built from the written
@@ -124,7 +125,8 @@ def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
     written Silver tables, and the order fact is kept once in working types so
     the item fact and the monthly aggregate read it instead of recomputing it.
     Tables of layers not requested are written empty (K2 clears Gold this way).
-    Returns the Gold tables read back from the run.
+    The tables of a layer are written by up to ``parallel_writes`` concurrent
+    jobs. Returns the Gold tables read back from the run.
     """
     from ledgerline.operators import gold as gold_ops
     from ledgerline.operators import quality
@@ -138,13 +140,24 @@ def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
     def written_layer(order: list[str], strip: str = "") -> LazyTables:
         return LazyTables({t.removeprefix(strip): (lambda t=t: written(t)) for t in order})
 
-    def write_layer(layer: str, frames: dict[str, DataFrame], order: list[str]) -> None:
-        for table in order:
-            path = _run_path(root, run_id, table)
-            if layer in layers:
-                _write(frames[table], path, table)
-            else:
-                spark.createDataFrame([], schemas.TABLES[table]).write.mode("overwrite").parquet(path)
+    def write_one(layer: str, frames: Mapping[str, DataFrame], table: str) -> None:
+        path = _run_path(root, run_id, table)
+        if layer in layers:
+            _write(frames[table], path, table)
+        else:
+            spark.createDataFrame([], schemas.TABLES[table]).write.mode("overwrite").parquet(path)
+
+    def write_layer(layer: str, frames: Mapping[str, DataFrame], order: list[str]) -> None:
+        # Tables of one layer only depend on earlier layers, so their jobs are
+        # submitted together; the first failure is raised after all finished.
+        if parallel_writes <= 1:
+            for table in order:
+                write_one(layer, frames, table)
+            return
+        with ThreadPoolExecutor(max_workers=parallel_writes) as pool:
+            futures = [pool.submit(write_one, layer, frames, t) for t in order]
+        for f in futures:
+            f.result()
 
     write_layer("bronze", build_bronze(sources) if "bronze" in layers else {}, schemas.BRONZE_ORDER)
     if validate and "bronze" in layers:

@@ -8,6 +8,7 @@ that iterates the whole layer still sees every table.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame
@@ -17,11 +18,14 @@ class LazyTables(Mapping[str, DataFrame]):
     def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
         self._builders = dict(builders)
         self._built: dict[str, DataFrame] = {}
+        # Writers build tables from several threads; build each one once.
+        self._lock = threading.RLock()
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._built:
-            self._built[name] = self._builders[name]()
-        return self._built[name]
+        with self._lock:
+            if name not in self._built:
+                self._built[name] = self._builders[name]()
+            return self._built[name]
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
