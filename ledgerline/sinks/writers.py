@@ -2,15 +2,16 @@
 
 Full refresh is published atomically per run: every table of the run is
 written under ``<root>/runs/<run_id>/<layer>/<table>``, in dependency order,
-and only then is the ``_CURRENT`` pointer (a one-line text dataset) replaced
-to name the new run. Readers resolve the pointer, so they never see a
-half-written run, and a failed run (or a lost executor that makes a job fail)
+and only then is a publish record appended to ``_CURRENT`` naming the new
+run. Readers resolve the latest record, so they never see a half-written run
+(and, since records are only appended, never a missing pointer), and a failed run (or a lost executor that makes a job fail)
 leaves the previous run published. Tables that depend on a written table read
 it back instead of recomputing it, which also cuts the lineage.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping
@@ -94,7 +95,18 @@ def _run_path(root: str, run_id: str, table: str) -> str:
 
 
 def current_run(spark: SparkSession, root: str) -> str:
-    return spark.read.text(f"{root.rstrip('/')}/{POINTER}").first()[0].strip()
+    """The run named by the latest publish record."""
+    from ledgerline.sources.readers import path_exists
+
+    pointer = f"{root.rstrip('/')}/{POINTER}"
+    if not path_exists(spark, pointer):
+        raise FileNotFoundError(f"nothing published under {root}")
+    latest = (spark.read.schema(_POINTER_SCHEMA).json(pointer)
+              .orderBy(F.col("published_at").desc(), F.col("run_id").desc())
+              .first())
+    if latest is None:
+        raise FileNotFoundError(f"nothing published under {root}")
+    return latest["run_id"]
 
 
 def read_published(spark: SparkSession, root: str, table: str, run_id: str | None = None) -> DataFrame:
@@ -102,9 +114,14 @@ def read_published(spark: SparkSession, root: str, table: str, run_id: str | Non
     return spark.read.parquet(_run_path(root, run_id, table))
 
 
+_POINTER_SCHEMA = "published_at long, run_id string"
+
+
 def _publish(spark: SparkSession, root: str, run_id: str) -> None:
-    (spark.createDataFrame([(run_id,)], "value string").coalesce(1)
-     .write.mode("overwrite").text(f"{root.rstrip('/')}/{POINTER}"))
+    """Append a publish record; nothing is deleted or overwritten, so a reader
+    sees either the previous latest record or the new one, never none."""
+    record = spark.createDataFrame([(time.time_ns() // 1000, run_id)], _POINTER_SCHEMA)
+    record.coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/{POINTER}")
 
 
 def _write(df: DataFrame, path: str, table: str) -> None:

@@ -99,3 +99,13 @@ def test_shuffle_partitions_sized_from_input(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_latest_publish_wins_and_old_runs_stay_readable(spark, raw_tables):
+    root = scratch_path(spark, "republish")
+    writers.layer_subset_refresh(spark, raw_tables, root, run_id="run_a")
+    writers.layer_subset_refresh(spark, raw_tables, root, run_id="run_b")
+    assert writers.current_run(spark, root) == "run_b"
+    assert writers.read_published(spark, root, "silver_orders", "run_a").count() == 4
+    with pytest.raises(FileNotFoundError):
+        writers.current_run(spark, scratch_path(spark, "never_published"))
