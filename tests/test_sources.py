@@ -146,3 +146,16 @@ def test_load_dataset_from_csv_restores_types(spark):
     assert order.order_purchase_timestamp == dt.datetime(2022, 1, 1, 10)
     assert order.order_approved_at is None and order.order_delivered_carrier_date is None
     assert dict(tables["orders"].dtypes)["order_approved_at"] == "timestamp_ntz"
+
+
+def test_newest_entry_picks_single_files_at_the_root(spark):
+    root = scratch_path(spark, "flat_landing")
+    local = to_local_path(root)
+    os.makedirs(local, exist_ok=True)
+    for i, name in enumerate(["old.csv", "new.CSV", "skip.txt"]):
+        with open(os.path.join(local, name), "w", encoding="utf-8") as fh:
+            fh.write("id,note,amount\n1,a,1\n")
+        os.utime(os.path.join(local, name), (1_700_000_000 + i * 100,) * 2)
+    newest = readers.newest_entry(spark, root, {".csv"})
+    assert newest.endswith("/new.CSV")
+    assert readers.read_by_suffix(spark, newest, SCHEMA).count() == 1
