@@ -1,11 +1,12 @@
 """The registered queries of this subpackage and their SQL."""
 
-from ledgerline.llm import byte_bpe, exact_dedup, licenses, mixing, pii, token_counts
+from ledgerline.llm import byte_bpe, exact_dedup, licenses, mixing, pii, quality, token_counts
 
 LLM_QUERIES = {
     "op3_license_scan": licenses.op3_license_scan,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_quality": quality.op6_quality,
     "op7_pii": pii.op7_pii,
     "op8_source_mix": mixing.op8_source_mix,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
