@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from ledgerline.llm import byte_bpe, exact_dedup, licenses, mixing, pii, quality, token_counts
+from ledgerline.llm import byte_bpe, exact_dedup, licenses, minhash, mixing, pii, quality, token_counts
 
 LLM_QUERIES = {
     "op3_license_scan": licenses.op3_license_scan,
@@ -10,6 +10,7 @@ LLM_QUERIES = {
     "op7_pii": pii.op7_pii,
     "op8_source_mix": mixing.op8_source_mix,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
+    "op10_minhash": minhash.op10_minhash,
 }
 
 LLM_ORACLE = {
