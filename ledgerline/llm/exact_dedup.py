@@ -13,8 +13,8 @@
 
 Defined cases: a null text counts as empty; rows repeated with the same doc_id
 share its fate (all are kept if that doc_id wins); a null doc_id never wins
-against a number, and in a group of null ids alone keep_id is null and every row
-is kept = false; an empty table gives an empty result; other columns are ignored.
+against a number, and in a group of null ids alone keep_id is null and the rows
+are kept, like repeated rows; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import table, text_or_empty, written
@@ -30,10 +30,13 @@ from ledgerline.llm.common import table, text_or_empty, written
 COUNTERS = 1024
 
 
+def normalised(text_col: str = "text") -> Column:
+    return F.regexp_replace(text_or_empty(text_col), r"[\x20\x09-\x0D]+", " ")
+
+
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, digest): SHA-256 of the text with each run of ASCII white space as one space."""
-    normal = F.regexp_replace(text_or_empty(text_col), r"[\x20\x09-\x0D]+", " ")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.sha2(normal, 256)).alias("digest"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.sha2(normalised(text_col), 256)).alias("digest"))
 
 
 def misra_gries(k: int):
@@ -74,7 +77,19 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rest = rows.join(F.broadcast(heavy.select("digest")), "digest", "left_anti")
     groups = rest.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     return (resolved.unionByName(rest.join(groups, "digest"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False))))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id"))))
+
+
+def without_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
+    """``docs`` with one row of each group of equal texts, all columns kept.
+
+    The kept (doc_id, digest) pairs are unique per group but for repeated rows; those
+    are cut to one in the same partitioning as the join.
+    """
+    kept = exact_duplicates(docs, counters=counters).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    one = docs.withColumns({"_exact_id": F.col("doc_id").cast("long"), "_exact_digest": F.unhex(F.sha2(normalised(), 256))})
+    met = one.join(kept, F.col("_exact_id").eqNullSafe(F.col("_id")) & (F.col("_exact_digest") == F.col("_digest")), "left_semi")
+    return met.dropDuplicates(["_exact_id", "_exact_digest"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +102,6 @@ WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
   FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-       coalesce(doc_id = min(doc_id) OVER w, false) AS kept, text_sha256
+       doc_id IS NOT DISTINCT FROM min(doc_id) OVER w AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """

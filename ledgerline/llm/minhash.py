@@ -20,7 +20,7 @@ pairs across components are compared, so no link that joins two components is lo
 
 Defined cases: null or blank texts have no shingle and link with nothing; with fewer
 words than a shingle the whole sequence is the one shingle; rows repeated with a doc_id
-share a component; a null doc_id links with nothing (component null, not kept); an
+share a component; a null doc_id links with nothing (component null, kept); an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -215,7 +215,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = SIMILARIT
     placed = real.select("doc_id", "n", "digest").join(named, "digest").select("doc_id", "n", "component_id")
     alone = signed.where("doc_id is null or digest is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return placed.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                                            F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+                                            F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def without_near_copies(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with the first document of each component, all columns kept."""
+    kept = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("_near_id")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_near_id")), "left_semi")
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

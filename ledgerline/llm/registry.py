@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and their SQL."""
 
-from ledgerline.llm import byte_bpe, exact_dedup, lattice, licenses, minhash, mixing, pii, quality, token_counts
+from ledgerline.llm import byte_bpe, exact_dedup, lattice, licenses, minhash, mixing, pii, quality, substrings, token_counts
 
 LLM_QUERIES = {
     "op1_lattice": lattice.op1_lattice,
+    "op2_substrings": substrings.op2_substrings,
     "op3_license_scan": licenses.op3_license_scan,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
