@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +31,21 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
+    """Rows sorted by ``keys``, regrouped so that no group is cut between two tables."""
+    rest = None
+    for batch in batches:
+        got = pa.Table.from_batches([batch])
+        got = got if rest is None else pa.concat_tables([rest, got]).combine_chunks()
+        change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in (got.column(n).to_numpy() for n in keys)], axis=0))
+        cut = int(change[-1]) + 1 if len(change) else 0  # the last group may go on in the next batch
+        if cut:
+            yield got.slice(0, cut)
+        rest = got.slice(cut)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Component of every vertex of ``edges`` (a, b), named by its smallest vertex.
 

@@ -8,15 +8,16 @@ documents are candidates when they agree on a whole band. With 36 functions and
 Documents with equal sets form one class, found by grouping set digests (partial
 aggregation, so a group of copies costs one row per map task); only classes go on.
 
-Candidates are verified in rounds, never as all pairs of a bucket:
+Buckets of up to ``small`` classes compare all their pairs. Larger ones never do:
 
-* a round compares one pivot per bucket with the bucket's members of other components;
-* verified links merge components; a pivot has met everyone and leaves its bucket;
-* a bucket whose remaining members share a component is done.
+* in each of a few rounds, two pivots per bucket are compared with the bucket's members of
+  other components; verified links merge components, and a bucket whose members share one
+  is done. A group of near-copies costs a few comparisons each;
+* classes of buckets that are still open (texts that share a common passage, say) are banded
+  again with 88 bands of 8 values, which far pairs hardly ever share and pairs at 0.8 miss with
+  probability below 1e-7. What is open even then is compared pair by pair across components.
 
-Near-copies thus cost about one comparison each. As soon as the open buckets hold few pairs in
-proportion to the entries (``FINISH``), and at the latest after ``rounds`` rounds, the remaining
-pairs across components are compared, so no link that joins two components is lost. Comparisons use the documents' words (compressed while shuffled).
+Comparisons use the documents' words themselves (compressed while shuffled).
 
 Defined cases: null or blank texts have no shingle and link with nothing; with fewer
 words than a shingle the whole sequence is the one shingle; rows repeated with a doc_id
@@ -38,13 +39,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.byte_bpe import slices
-from ledgerline.llm.common import connected_components, table, text_or_empty, written
-
-FUNCTIONS = 36
-ROWS = 3
-ROUNDS = 6
-#: Remaining pairs are compared at once when they are at most this many times the bucket entries.
-FINISH = 2
+from ledgerline.llm.common import connected_components, table, text_or_empty, whole_groups, written
+
+#: (hash functions, rows of a band): the bands of all documents, then those of crowded buckets.
+LEVELS = ((36, 3), (352, 8))
+#: Rounds, of two pivots each, that a large bucket tries on a level.
+ROUNDS = 2
+#: Entries up to which a bucket's pairs are all compared.
+SMALL = 16
+#: Classes of a bucket that one unit of work compares.
+BLOCK = 2048
 #: Per cent of the union that the intersection must reach.
 SIMILARITY = 80
 SEED = 7
@@ -116,7 +120,7 @@ class MinMax:
         return np.stack(keys, 1).view(np.int64)
 
 
-def signatures(docs: DataFrame, width: int, functions: int = FUNCTIONS, rows: int = ROWS, seed: int = SEED) -> DataFrame:
+def signatures(docs: DataFrame, width: int, functions: int, rows: int, seed: int = SEED) -> DataFrame:
     """(doc_id, n, digest, bands) of (doc_id, text as binary); digest and bands are null for empty sets."""
     make = lambda: MinMax(width, functions, rows, seed)
 
@@ -145,6 +149,17 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(pack, "doc_id long, words binary")
 
 
+def unpacked(texts: DataFrame) -> DataFrame:
+    """(doc_id, text) of packed words (cls, words)."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        back = zstandard.ZstdDecompressor().decompress
+        for batch in slices(batches, "words", 1 << 20):
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array([back(w) for w in batch.column("words").to_pylist()], pa.binary())], names=["doc_id", "text"])
+
+    return texts.select("cls", "words").mapInArrow(unpack, "doc_id long, text binary")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity; ``texts``: (cls, words)."""
 
@@ -165,52 +180,118 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: int) ->
     return pairs.join(right, "b").join(left, "a").select("a", "b", "words_a", "words_b").mapInPandas(compare, "a long, b long")
 
 
-def class_links(members: DataFrame, texts: DataFrame, width: int, similarity: int, rounds: int) -> DataFrame:
-    """(v, component) of the linked classes; ``members``: (bucket, cls, n), buckets of two classes or more."""
-    members = members.select("bucket", "cls", "n", F.col("cls").alias("comp"))
-    near = lambda a, b: (100 * F.least(a, b) >= similarity * F.greatest(a, b))
-    links, started = None, members.count()
-    for turn in range(rounds + 1):
-        per_bucket = members.groupBy("bucket").agg(F.count("*").alias("m"))
-        left = per_bucket.agg(F.sum(F.col("m") * (F.col("m") - 1) / 2)).first()[0] or 0
-        last = turn == rounds or left <= FINISH * started  # few pairs remain: compare them all
-        if last:
-            other = members.select("bucket", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-            pairs = members.join(other, "bucket").where((F.col("a") < F.col("cls")) & (F.col("comp") != F.col("comp_a")) & near(F.col("n"), F.col("n_a"))).select("a", F.col("cls").alias("b"))
-        else:
-            # A pivot per bucket: the smallest class first, then by a hash that differs from turn to turn.
-            order = F.struct((F.xxhash64("cls", F.lit(turn)) if turn else F.col("cls")).alias("o"), F.col("cls"), F.col("n"), F.col("comp"))
-            pivots = members.groupBy("bucket").agg(F.min(order).alias("p")).select("bucket", F.col("p.cls").alias("a"), F.col("p.n").alias("n_a"), F.col("p.comp").alias("comp_a"))
-            pairs = members.join(pivots, "bucket").where((F.col("comp") != F.col("comp_a")) & near(F.col("n"), F.col("n_a"))).select("a", F.col("cls").alias("b"))
-            members = members.join(pivots.select("bucket", F.col("a").alias("cls")), ["bucket", "cls"], "left_anti")
-        found = written(verified(pairs.distinct(), texts, width, similarity), "links")
-        links = found if links is None else links.unionByName(found)
-        if last:
+def crowded(large: DataFrame, texts: DataFrame, width: int, similarity: int) -> DataFrame:
+    """Links (a, b) across components inside buckets, found without emitting a pair.
+
+    A bucket is cut into blocks of about ``BLOCK`` classes; each pair of blocks is a unit of work
+    that builds each set once and skips what a link found in it already joins.
+    """
+
+    def unit(rows: pd.DataFrame) -> list[tuple[int, int]]:
+        unpack, links, parent = zstandard.ZstdDecompressor().decompress, [], {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        sets = [shingle_set(unpack(w).split(), width) for w in rows["words"]]
+        cls, comp, block = rows["cls"].tolist(), rows["comp"].tolist(), rows["c"].tolist()
+        one = rows["c1"].iloc[0] == rows["c2"].iloc[0]
+        few = rows.groupby("comp")["cls"].transform("size").tolist()
+        order = sorted(range(len(cls)), key=lambda i: (few[i], comp[i], cls[i]))  # small components first
+        for k, i in enumerate(order):
+            if comp[i] == comp[order[-1]]:
+                break  # only the largest component is left
+            for j in order[k + 1:]:
+                if comp[i] == comp[j] or not one and block[i] == block[j]:
+                    continue
+                a, b = len(sets[i]), len(sets[j])
+                if 100 * min(a, b) < similarity * max(a, b) or root(comp[i]) == root(comp[j]):
+                    continue
+                both = len(sets[i] & sets[j])
+                if 100 * both >= similarity * (a + b - both):
+                    links.append((cls[i], cls[j]))
+                    parent[root(comp[i])] = root(comp[j])
+        return links
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["bucket", "c1", "c2"]):
+            for _, rows in table.to_pandas().groupby(["bucket", "c1", "c2"], sort=False):
+                if links := unit(rows):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], names=["a", "b"])
+
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    placed = (large.withColumn("blocks", blocks).withColumn("c", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+              .select("bucket", "cls", "comp", "c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
+              .select("bucket", "cls", "comp", "c", F.least("c", "o").alias("c1"), F.greatest("c", "o").alias("c2")))
+    work = placed.join(texts, "cls").repartition("bucket", "c1", "c2").sortWithinPartitions("bucket", "c1", "c2", "cls")
+    return work.select("bucket", "c1", "c2", "c", "cls", "comp", "words").mapInArrow(run, "a long, b long")
+
+
+def shared_buckets(entries: DataFrame) -> DataFrame:
+    """(bucket, cls, n, comp) with ``m``, the bucket's entries, of buckets that hold two components or more."""
+    open_ = entries.groupBy("bucket").agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    return written(entries.join(open_.select("bucket", "m"), "bucket"), "buckets")
+
+
+def renamed(entries: DataFrame, components: DataFrame) -> DataFrame:
+    """Entries with the component that the links so far give their class."""
+    return (entries.drop("comp").join(components.withColumnRenamed("v", "cls"), "cls", "left")
+            .select("bucket", "cls", "n", F.coalesce("component", "cls").alias("comp")))
+
+
+def class_links(entries: DataFrame, texts: DataFrame, width: int, similarity: int, levels, rounds: int, small: int, seed: int) -> DataFrame:
+    """(v, component) of the linked classes; ``entries``: (bucket, cls, n, comp), ``texts``: (cls, words)."""
+    near = (100 * F.least("n", "n_a") >= similarity * F.greatest("n", "n_a")) & (F.col("comp") != F.col("comp_a"))
+    links = None
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        found = written(verified(pairs.withColumnRenamed("cls", "b").distinct(), texts, width, similarity), "links")
+        return found if links is None else links.unionByName(found)
+
+    def all_pairs(some: DataFrame) -> DataFrame:
+        other = some.select("bucket", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
+        return some.join(other, "bucket").where((F.col("a") < F.col("cls")) & near)
+
+    for depth in range(len(levels)):
+        entries = shared_buckets(entries)
+        pairs, large = all_pairs(entries.where(F.col("m") <= small)).select("a", "cls"), entries.where(F.col("m") > small)
+        for turn in range(rounds):
+            # Two pivots per bucket, by a hash of the class that differs from turn to turn: buckets agree on pivots.
+            order = F.struct(F.xxhash64("cls", F.lit(turn)).alias("o"), "cls", "n", "comp")
+            pivots = (large.groupBy("bucket").agg(F.array_distinct(F.array(F.min(order), F.max(order))).alias("p")).select("bucket", F.explode("p").alias("p"))
+                      .select("bucket", F.col("p.cls").alias("a"), F.col("p.n").alias("n_a"), F.col("p.comp").alias("comp_a")))
+            tried = large.join(pivots, "bucket").where(near).select("a", "cls")
+            links = compared(tried if pairs is None else pairs.unionByName(tried))
+            pairs = None
+            components = written(connected_components(links), "components")
+            large = large.join(pivots.select("bucket", F.col("a").alias("cls")), ["bucket", "cls"], "left_anti")
+            large = shared_buckets(renamed(large, components))
+            if large.isEmpty():
+                return components
+        if depth + 1 == len(levels):  # no sharper bands: compare what is left across components
+            links = links.unionByName(written(crowded(large, texts, width, similarity), "links"))
             break
-        components = written(connected_components(links), "components")
-        merged = (members.drop("comp").join(components.withColumnRenamed("v", "cls"), "cls", "left")
-                  .select("bucket", "cls", "n", F.coalesce("component", "cls").alias("comp")))
-        open_ = merged.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-        members = written(merged.join(open_, "bucket", "left_semi"), "members")
-        if members.isEmpty():
-            return components
+        dense = texts.join(large.select("cls").distinct(), "cls", "left_semi")
+        sharper = signatures(unpacked(dense), width, *levels[depth + 1], seed + depth + 1).select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("cls"), "n", F.col("doc_id").alias("comp"))
+        entries = renamed(sharper, components)
     return connected_components(links)
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = SIMILARITY, functions: int = FUNCTIONS, rows: int = ROWS,
-                    rounds: int = ROUNDS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = SIMILARITY, levels=LEVELS,
+                    rounds: int = ROUNDS, small: int = SMALL, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(f"`{text_col}`").cast("binary").alias("text"))
-    signed = written(signatures(docs, width, functions, rows, seed), "signatures")
+    signed = written(signatures(docs, width, *levels[0], seed), "signatures")
     real = signed.where("doc_id is not null and digest is not null")
     classes = written(real.groupBy("digest").agg(F.min("doc_id").alias("cls")), "classes")
     heads = real.join(classes.withColumnRenamed("cls", "doc_id"), ["digest", "doc_id"], "left_semi")
-    buckets = heads.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("cls"), "n")
-    shared = buckets.groupBy("bucket").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("bucket")
-    members = written(buckets.join(shared, "bucket", "left_semi").distinct(), "members")
-    wanted = members.select(F.col("cls").alias("doc_id")).distinct()
+    entries = heads.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("cls"), "n", F.col("doc_id").alias("comp")).distinct()
+    entries = shared_buckets(entries).drop("m")
+    wanted = entries.select(F.col("cls").alias("doc_id")).distinct()
     texts = written(packed(docs).join(wanted, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("cls")).agg(F.max("words").alias("words")), "words")
-    linked = class_links(members, texts, width, similarity, rounds)
+    linked = class_links(entries, texts, width, similarity, levels, rounds, small, seed)
     named = classes.join(linked.withColumnRenamed("v", "cls"), "cls", "left").select("digest", F.coalesce("component", "cls").alias("component_id"))
     placed = real.select("doc_id", "n", "digest").join(named, "digest").select("doc_id", "n", "component_id")
     alone = signed.where("doc_id is null or digest is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
