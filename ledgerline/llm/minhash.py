@@ -10,12 +10,13 @@ aggregation, so a group of copies costs one row per map task); only classes go o
 
 Buckets of up to ``small`` classes compare all their pairs. Larger ones never do:
 
-* in each of a few rounds, two pivots per bucket are compared with the bucket's members of
-  other components; verified links merge components, and a bucket whose members share one
-  is done. A group of near-copies costs a few comparisons each;
-* classes of buckets that are still open (texts that share a common passage, say) are banded
-  again with 88 bands of 8 values, which far pairs hardly ever share and pairs at 0.8 miss with
-  probability below 1e-7. What is open even then is compared pair by pair across components.
+* their classes (near-copies, or texts that share a common passage) are banded again with
+  88 bands of 8 values, which far pairs hardly ever share and pairs at 0.8 miss with
+  probability below 1e-7;
+* a large bucket of these is one unit of work: a class is compared with each group joined so
+  far only until a link is found, so near-copies cost a few comparisons each, and no pair is emitted;
+* a bucket of more than ``BLOCK`` classes first tries a few rounds of two pivots against its
+  members, which merges groups of near-copies, and is then cut into pairs of blocks.
 
 Comparisons use the documents' words themselves (compressed while shuffled).
 
@@ -43,8 +44,8 @@ from ledgerline.llm.common import connected_components, table, text_or_empty, wh
 
 #: (hash functions, rows of a band): the bands of all documents, then those of crowded buckets.
 LEVELS = ((36, 3), (352, 8))
-#: Rounds, of two pivots each, that a large bucket tries on a level.
-ROUNDS = 2
+#: Rounds, of two pivots each, that a bucket of more than BLOCK classes tries.
+ROUNDS = 3
 #: Entries up to which a bucket's pairs are all compared.
 SMALL = 16
 #: Classes of a bucket that one unit of work compares.
@@ -198,21 +199,24 @@ def crowded(large: DataFrame, texts: DataFrame, width: int, similarity: int) ->
         sets = [shingle_set(unpack(w).split(), width) for w in rows["words"]]
         cls, comp, block = rows["cls"].tolist(), rows["comp"].tolist(), rows["c"].tolist()
         one = rows["c1"].iloc[0] == rows["c2"].iloc[0]
-        few = rows.groupby("comp")["cls"].transform("size").tolist()
-        order = sorted(range(len(cls)), key=lambda i: (few[i], comp[i], cls[i]))  # small components first
-        for k, i in enumerate(order):
-            if comp[i] == comp[order[-1]]:
-                break  # only the largest component is left
-            for j in order[k + 1:]:
-                if comp[i] == comp[j] or not one and block[i] == block[j]:
+        groups: dict[int, list[int]] = {}  # members of each component joined so far
+        for i, mine in enumerate(sets):
+            own = root(comp[i])
+            groups.setdefault(own, [])
+            for key in sorted(groups, key=lambda k: -len(groups[k])):
+                if key == own or key not in groups:
                     continue
-                a, b = len(sets[i]), len(sets[j])
-                if 100 * min(a, b) < similarity * max(a, b) or root(comp[i]) == root(comp[j]):
-                    continue
-                both = len(sets[i] & sets[j])
-                if 100 * both >= similarity * (a + b - both):
-                    links.append((cls[i], cls[j]))
-                    parent[root(comp[i])] = root(comp[j])
+                for j in groups[key]:
+                    a, b = len(mine), len(sets[j])
+                    if not one and block[i] == block[j] or 100 * min(a, b) < similarity * max(a, b):
+                        continue
+                    both = len(mine & sets[j])
+                    if 100 * both >= similarity * (a + b - both):
+                        links.append((cls[j], cls[i]))
+                        groups[key] += groups.pop(own)
+                        parent[own], own = key, key
+                        break
+            groups[own].append(i)
         return links
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,26 +260,25 @@ def class_links(entries: DataFrame, texts: DataFrame, width: int, similarity: in
 
     for depth in range(len(levels)):
         entries = shared_buckets(entries)
-        pairs, large = all_pairs(entries.where(F.col("m") <= small)).select("a", "cls"), entries.where(F.col("m") > small)
-        for turn in range(rounds):
-            # Two pivots per bucket, by a hash of the class that differs from turn to turn: buckets agree on pivots.
-            order = F.struct(F.xxhash64("cls", F.lit(turn)).alias("o"), "cls", "n", "comp")
-            pivots = (large.groupBy("bucket").agg(F.array_distinct(F.array(F.min(order), F.max(order))).alias("p")).select("bucket", F.explode("p").alias("p"))
-                      .select("bucket", F.col("p.cls").alias("a"), F.col("p.n").alias("n_a"), F.col("p.comp").alias("comp_a")))
-            tried = large.join(pivots, "bucket").where(near).select("a", "cls")
-            links = compared(tried if pairs is None else pairs.unionByName(tried))
-            pairs = None
-            components = written(connected_components(links), "components")
-            large = large.join(pivots.select("bucket", F.col("a").alias("cls")), ["bucket", "cls"], "left_anti")
-            large = shared_buckets(renamed(large, components))
-            if large.isEmpty():
-                return components
-        if depth + 1 == len(levels):  # no sharper bands: compare what is left across components
-            links = links.unionByName(written(crowded(large, texts, width, similarity), "links"))
+        links = compared(all_pairs(entries.where(F.col("m") <= small)).select("a", "cls"))
+        large = entries.where(F.col("m") > small)
+        if large.isEmpty():
+            return connected_components(links)
+        if depth + 1 < len(levels):  # sharper bands for the classes of large buckets
+            dense = texts.join(large.select("cls").distinct(), "cls", "left_semi")
+            sharper = signatures(unpacked(dense), width, *levels[depth + 1], seed + depth + 1)
+            entries = sharper.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("cls"), "n", F.col("doc_id").alias("comp"))
+    for turn in range(rounds):
+        huge = large.where(F.col("m") > BLOCK)
+        if huge.isEmpty():
             break
-        dense = texts.join(large.select("cls").distinct(), "cls", "left_semi")
-        sharper = signatures(unpacked(dense), width, *levels[depth + 1], seed + depth + 1).select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("cls"), "n", F.col("doc_id").alias("comp"))
-        entries = renamed(sharper, components)
+        # Two pivots per huge bucket, by a hash of the class that differs from turn to turn: buckets agree on pivots.
+        order = F.struct(F.xxhash64("cls", F.lit(turn)).alias("o"), "cls", "n", "comp")
+        pivots = (huge.groupBy("bucket").agg(F.array_distinct(F.array(F.min(order), F.max(order))).alias("p")).select("bucket", F.explode("p").alias("p"))
+                  .select("bucket", F.col("p.cls").alias("a"), F.col("p.n").alias("n_a"), F.col("p.comp").alias("comp_a")))
+        links = compared(huge.join(pivots, "bucket").where(near).select("a", "cls"))
+        large = shared_buckets(renamed(large, written(connected_components(links), "components")))
+    links = links.unionByName(written(crowded(large, texts, width, similarity), "links"))
     return connected_components(links)
 
 
