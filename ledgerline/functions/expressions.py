@@ -113,10 +113,10 @@ def mode_of(col: Column | str) -> Column:
 def first_by_order(value: Column | str, order: Column | str) -> Column:
     """Value of the row with the smallest ``order`` among rows where value is set.
 
-    Makes "first non-null in file order" explicit and deterministic.
+    Makes "first non-null in file order" explicit; equal orders give the smallest value.
     """
     v = _c(value)
-    return F.min_by(v, F.when(v.isNotNull(), _c(order)))
+    return F.min_by(v, F.when(v.isNotNull(), F.struct(_c(order).alias("o"), v.alias("v"))))
 
 
 def any_not_null(*cols: Column | str) -> Column:

@@ -64,6 +64,11 @@ def money(name: str, nullable: bool = True) -> T.StructField:
     return decimal(name, 14, 2, nullable)
 
 
+def money_sum(name: str) -> T.StructField:
+    """A sum of money: wider than one value, so that no total can overflow the sink type."""
+    return decimal(name, 38, 2)
+
+
 def days(name: str) -> T.StructField:
     return decimal(name, 12, 4)
 
@@ -241,10 +246,10 @@ GOLD = {
         count("items_count"),
         count("products_count"),
         count("sellers_count"),
-        money("items_value"),
-        money("freight_value"),
-        money("order_total_value"),
-        money("payment_value_total"),
+        money_sum("items_value"),
+        money_sum("freight_value"),
+        money_sum("order_total_value"),
+        money_sum("payment_value_total"),
         integer("payment_sequential_max", unsigned=True),
         integer("payment_installments_max", unsigned=True),
         decimal("payment_installments_mean", 12, 4),
@@ -288,9 +293,9 @@ GOLD = {
         text("purchase_year_month", 7, nullable=False),
         count("orders_count"),
         count("customers_count"),
-        money("revenue_total"),
-        money("payment_total"),
-        money("freight_total"),
+        money_sum("revenue_total"),
+        money_sum("payment_total"),
+        money_sum("freight_total"),
         money("avg_ticket"),
         money("avg_freight"),
         days("avg_delivery_days"),
@@ -379,10 +384,6 @@ RELATIONSHIPS: dict[str, dict[str, tuple[str, str]]] = {
 }
 
 
-def get_relationships() -> dict[str, dict[str, tuple[str, str]]]:
-    return RELATIONSHIPS
-
-
 def not_null_columns(table: str) -> list[str]:
     return [f.name for f in TABLES[table].fields if not f.nullable]
 

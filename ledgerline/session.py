@@ -74,12 +74,14 @@ def apply_sql_defaults(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Shared scratch root: the cluster's checkpoint dir, or a local one in tests."""
+    """Shared scratch root: the cluster's checkpoint dir; a local one on a local master only."""
     current = spark.sparkContext.getCheckpointDir()
     if not current:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
         if configured:
             spark.sparkContext.setCheckpointDir(configured)
+        elif not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         else:
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
         current = spark.sparkContext.getCheckpointDir()

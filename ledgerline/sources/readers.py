@@ -30,6 +30,9 @@ NULL_TOKENS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+# Sources with free text in quotes.
+MULTI_LINE = {"order_reviews"}
+
 SUPPORTED_SUFFIXES = {".csv": "csv", ".json": "json", ".parquet": "parquet"}
 
 
@@ -165,11 +168,14 @@ def coerce_timestamps(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def restore_integers(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Integer columns read as double (``"12.0"``) back to integers. A value
-    out of the integer range becomes NULL instead of failing the job; a
-    fraction is truncated."""
-    return df.withColumns({c: F.col(c).try_cast("int") for c in cols
-                           if c in df.columns and dict(df.dtypes)[c] != "int"})
+    """Integer columns read as double (``"12.0"``) back to 64-bit integers, which hold the
+    whole unsigned 32-bit range. A fraction, or a value beyond 64 bits, fails the job."""
+    def whole(c: str) -> Column:
+        bad = F.raise_error(F.concat(F.lit(f"{c} is not an integer: "), F.col(c).cast("string"))).cast("long")
+        return F.when(F.col(c).isNull() | (F.col(c) == F.floor(c)), F.col(c).cast("long")).otherwise(bad)
+
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: whole(c) for c in cols if kinds.get(c) in ("double", "float")})
 
 
 def normalize_null_tokens(df: DataFrame, tokens: list[str] | None = None) -> DataFrame:
@@ -182,7 +188,9 @@ def normalize_null_tokens(df: DataFrame, tokens: list[str] | None = None) -> Dat
 def load_dataset(spark: SparkSession, base: str, files: dict[str, str],
                  schemas_by_table: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
     """The nine-table dataset. All missing files are reported in one error
-    before anything is read; text timestamps are coerced."""
+    before anything is read. Text sources have their null tokens removed (S10) and
+    text timestamps coerced (S9); only ``MULTI_LINE`` sources, whose free text may hold
+    quoted newlines, are read unsplit."""
     base = base.rstrip("/")
     missing = [f for f in files.values() if not path_exists(spark, f"{base}/{f}")]
     if missing:
@@ -192,7 +200,11 @@ def load_dataset(spark: SparkSession, base: str, files: dict[str, str],
         schema = (schemas_by_table or {}).get(name)
         if schema is None and suffix_of(fname) != ".parquet":
             schema = schemas.raw_schema(name)
-        df = read_by_suffix(spark, f"{base}/{fname}", schema)
+        suffix = suffix_of(fname)
+        options = {"multi_line": True} if suffix == ".csv" and name in MULTI_LINE else {}
+        df = read_by_suffix(spark, f"{base}/{fname}", schema, **options)
+        if suffix != ".parquet":
+            df = normalize_null_tokens(df)
         df = restore_integers(df, schemas.INTEGER_COLUMNS.get(name, []))
         tables[name] = coerce_timestamps(df, schemas.TIMESTAMP_COLUMNS.get(name, []))
     return tables

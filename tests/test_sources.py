@@ -141,7 +141,7 @@ def test_load_dataset_from_csv_restores_types(spark):
     sellers = {r.seller_id: r for r in tables["sellers"].collect()}
     assert sellers["s1"].seller_zip_code_prefix == 1310
     assert sellers["s2"].seller_zip_code_prefix is None
-    assert dict(tables["sellers"].dtypes)["seller_zip_code_prefix"] == "int"
+    assert dict(tables["sellers"].dtypes)["seller_zip_code_prefix"] == "bigint"  # the whole unsigned range
     order = tables["orders"].first()
     assert order.order_purchase_timestamp == dt.datetime(2022, 1, 1, 10)
     assert order.order_approved_at is None and order.order_delivered_carrier_date is None
@@ -159,3 +159,24 @@ def test_newest_entry_picks_single_files_at_the_root(spark):
     newest = readers.newest_entry(spark, root, {".csv"})
     assert newest.endswith("/new.CSV")
     assert readers.read_by_suffix(spark, newest, SCHEMA).count() == 1
+
+
+def test_load_dataset_quoted_newlines_null_tokens_and_wide_integers(spark, tmp_path):
+    (tmp_path / "order_reviews.csv").write_text(
+        "review_id,order_id,review_score,review_comment_title,review_comment_message,"
+        "review_creation_date,review_answer_timestamp\n"
+        'r1,o1,5,NA,"two\nlines",2024-01-01 00:00:00,2024-01-02 00:00:00\n'
+        "r2,o2,4,null,plain,2024-01-01 00:00:00,2024-01-02 00:00:00\n")
+    (tmp_path / "customers.csv").write_text(
+        "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
+        "c1,u1,3000000000,NA,None\n")
+    from ledgerline.sources.readers import load_dataset
+
+    got = load_dataset(spark, str(tmp_path), {"order_reviews": "order_reviews.csv", "customers": "customers.csv"})
+    reviews = {r["review_id"]: r for r in got["order_reviews"].collect()}
+    assert set(reviews) == {"r1", "r2"}
+    assert reviews["r1"]["review_comment_message"] == "two\nlines"
+    assert reviews["r1"]["review_comment_title"] is None and reviews["r2"]["review_comment_title"] is None
+    customer = got["customers"].first()
+    assert customer["customer_zip_code_prefix"] == 3_000_000_000
+    assert customer["customer_city"] is None and customer["customer_state"] is None
