@@ -4,6 +4,7 @@ from ledgerline.functions.expressions import (  # noqa: F401
     any_not_null,
     avg_micros_as_days,
     avg_money,
+    avg_score,
     day_diff,
     first_by_order,
     guarded_ratio,
@@ -11,7 +12,6 @@ from ledgerline.functions.expressions import (  # noqa: F401
     late_flag,
     mean_coordinate,
     micros_between,
-    mode_of,
     month_part,
     round_money,
     sum_money,

@@ -85,6 +85,13 @@ def avg_money(col: Column | str) -> Column:
     return F.sum(c).cast("double") / F.count(c)
 
 
+def avg_score(col: Column | str) -> Column:
+    """Average of per-order mean scores: summed as decimals of 12 places, so the result
+    does not depend on row order."""
+    c = _c(col)
+    return F.sum(c.cast("decimal(20,12)")).cast("double") / F.count(c)
+
+
 def avg_micros_as_days(micros: Column | str) -> Column:
     """Average of a duration given in whole microseconds, returned in days.
 
@@ -105,11 +112,6 @@ def mean_coordinate(col: Column | str) -> Column:
     return (F.sum(c.cast("decimal(20,15)")).cast("double") / F.count(c)).cast(COORDINATE)
 
 
-def mode_of(col: Column | str) -> Column:
-    """Most frequent non-null value; ties go to the smallest; all-null -> NULL."""
-    return F.mode(_c(col), deterministic=True)
-
-
 def first_by_order(value: Column | str, order: Column | str) -> Column:
     """Value of the row with the smallest ``order`` among rows where value is set.
 

@@ -29,6 +29,7 @@ from ledgerline.functions import (
     any_not_null,
     avg_micros_as_days,
     avg_money,
+    avg_score,
     day_diff,
     guarded_ratio,
     hour_diff,
@@ -41,6 +42,7 @@ from ledgerline.functions import (
     year_month_label,
     year_part,
 )
+from ledgerline.operators.joins import left_join_split
 from ledgerline.schemas import columns
 from ledgerline.tables import LazyTables
 
@@ -78,8 +80,8 @@ def window_payment_rank(order_payments: DataFrame) -> DataFrame:
     """Rank of each payment type inside its order (ROW_NUMBER form).
 
     Ordered by count descending, then type ascending with NULL first. The
-    window partitions the already-grouped (order, type) rows, which the
-    aggregation left hash-partitioned on ``order_id``: no extra shuffle.
+    window shuffles the grouped rows again, by order: one row per (order, type),
+    so a hot order costs its distinct types only.
     """
     counts = agg_payment_type_counts(order_payments)
     w = Window.partitionBy("order_id").orderBy(
@@ -126,7 +128,7 @@ def join_ranked_condition(order_payments: DataFrame) -> DataFrame:
     top = (window_payment_rank(order_payments)
            .where(F.col("row_num") == 1)
            .select("order_id", F.col("payment_type").alias("payment_type_main")))
-    return order_payments.join(top, "order_id", "left")
+    return left_join_split(order_payments, top, "order_id")
 
 
 def agg_reviews(order_reviews: DataFrame) -> DataFrame:
@@ -188,14 +190,14 @@ def gold_fct_order_items(tables: Mapping[str, DataFrame], fct_orders: DataFrame
 
     Only the order-level columns needed are derived (the item fact does not
     need the payment or review summaries), so Catalyst prunes those branches.
-    A left join: items whose order is missing keep NULL order columns. AQE
-    splits a skewed ``order_id`` on the item side of this join.
+    A left join: items whose order is missing keep NULL order columns. The
+    items of a hot order are dealt out over several tasks.
     """
     if fct_orders is None:
         fct_orders = order_measures(tables["orders"])
     order_side = fct_orders.select("order_id", *_ORDER_COLUMNS_FOR_ITEMS)
     items = with_item_total(tables["order_items"])
-    joined = items.join(order_side, "order_id", "left")
+    joined = left_join_split(items, order_side, "order_id")
     return joined.withColumn(
         "shipping_accuracy_days",
         day_diff("shipping_limit_date", "order_delivered_carrier_date"),
@@ -227,7 +229,7 @@ def gold_agg_sales_monthly(fct_orders: DataFrame, unique_order_ids: bool = False
         avg_micros_as_days(micros_between("order_purchase_timestamp",
                                           "order_delivered_customer_date"))
         .alias("avg_delivery_days"),
-        F.avg("review_score_mean").alias("avg_review_score"),
+        avg_score("review_score_mean").alias("avg_review_score"),
         delivered.alias("delivered_orders"),
         late_n.alias("late_orders"),
         guarded_ratio(late_n, delivered).alias("otd_rate"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import first_by_order, micros_between, sum_money
+from ledgerline.operators.joins import left_join_split
 from ledgerline.schemas import MONEY
 
 
@@ -35,7 +36,7 @@ def shipping_join(order_items: DataFrame, orders: DataFrame) -> DataFrame:
     """Items with their order's carrier date; the shipping margin is
     ``shipping_limit_date - carrier date`` in microseconds."""
     carrier = orders.select("order_id", "order_delivered_carrier_date")
-    joined = order_items.join(carrier, "order_id", "left")
+    joined = left_join_split(order_items, carrier, "order_id")
     return joined.select(
         "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
         "price", "freight_value",

@@ -273,18 +273,20 @@ def not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def domain(df: DataFrame, table: str, severity: str = WARN) -> DataFrame:
-    """Q9: UNSIGNED columns are >= 0 and text fits its declared length."""
-    dtypes = dict(df.dtypes)
-    checks: list[tuple[str, str, Column]] = []
-    for c in schemas.unsigned_columns(table):
-        if c in dtypes:
-            checks.append(("unsigned", c, F.col(c) < 0))
-    for c, limit in schemas.length_limits(table).items():
-        if dtypes.get(c) == "string":
-            checks.append((f"max_length_{limit}", c, F.length(c) > limit))
+    """Q9: UNSIGNED columns are >= 0 and text fits its declared length.
+
+    Every declared check is reported: a column of another type is measured as
+    text, and a missing column fails.
+    """
+    checks: list[tuple[str, str, Column]] = [
+        ("unsigned", c, F.col(c) < 0) for c in schemas.unsigned_columns(table)]
+    checks += [(f"max_length_{limit}", c, F.length(F.col(c).cast("string")) > limit)
+               for c, limit in schemas.length_limits(table).items()]
     agg = df.agg(F.count(F.lit(1)).alias("_total"),
-                 *[F.count_if(cond).alias(f"_d{i}") for i, (_, _, cond) in enumerate(checks)])
-    rows = [_row(table, name, c, F.col(f"_d{i}"), F.col("_total"), severity)
+                 *[F.count_if(cond).alias(f"_d{i}") for i, (_, c, cond) in enumerate(checks)
+                   if c in df.columns])
+    rows = [_row(table, name, c, F.col(f"_d{i}") if c in df.columns else F.lit(None),
+                 F.col("_total"), severity)
             for i, (name, c, _) in enumerate(checks)]
     return _report(agg, rows)
 

@@ -12,7 +12,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions import mean_coordinate, mode_of, round_money
+from ledgerline.functions import mean_coordinate, round_money
+from ledgerline.operators.modes import mode_per_group
 from ledgerline.tables import LazyTables, renamed
 
 
@@ -24,16 +25,18 @@ def build_bronze(sources: Mapping[str, DataFrame]) -> LazyTables:
 def silver_geolocations(geolocation: DataFrame) -> DataFrame:
     """One row per zip prefix: mean coordinates, modal city and state.
 
-    Rows without a zip are dropped. The aggregate is partial + final, so a zip
-    holding a large share of the rows is pre-combined on the map side.
+    Rows without a zip are dropped. Means and modes are aggregated apart, partial +
+    final, so a zip holding a large share of the rows is pre-combined on the map
+    side; each has one row per zip, and they are joined on it.
     """
-    return (geolocation
-            .where(F.col("geolocation_zip_code_prefix").isNotNull())
-            .groupBy(F.col("geolocation_zip_code_prefix").alias("zip_code_prefix"))
-            .agg(mode_of("geolocation_city").alias("city"),
-                 mode_of("geolocation_state").alias("state"),
-                 mean_coordinate("geolocation_lat").alias("latitude"),
-                 mean_coordinate("geolocation_lng").alias("longitude")))
+    key = "zip_code_prefix"
+    valid = (geolocation.where(F.col("geolocation_zip_code_prefix").isNotNull())
+             .withColumnRenamed("geolocation_zip_code_prefix", key))
+    means = valid.groupBy(key).agg(mean_coordinate("geolocation_lat").alias("latitude"),
+                                   mean_coordinate("geolocation_lng").alias("longitude"))
+    return (means.join(mode_per_group(valid, key, "geolocation_city", "city"), key)
+            .join(mode_per_group(valid, key, "geolocation_state", "state"), key)
+            .select(key, "city", "state", "latitude", "longitude"))
 
 
 def silver_order_items(order_items: DataFrame) -> DataFrame:

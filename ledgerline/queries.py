@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schemas, staging
-from ledgerline.functions import guarded_ratio, mode_of
+from ledgerline.functions import guarded_ratio
 from ledgerline.operators import gold as G
 from ledgerline.operators import notebook as N
 from ledgerline.operators import quality as Q
 from ledgerline.operators import silver as S
+from ledgerline.operators.modes import mode_per_group
 from ledgerline.plans.build import build_all
 from ledgerline.session import apply_sql_defaults, scratch_path
 from ledgerline.sinks import writers
@@ -111,8 +112,8 @@ def q_silver_geolocations(spark, sf_dir):
 def q_agg_mode(spark, sf_dir):
     """V3: deterministic mode of the payment type per order (nulls skipped,
     ties to the smallest, all-null -> NULL)."""
-    return payments_with_null_type(spark, sf_dir).groupBy("order_id").agg(
-        mode_of("payment_type").alias("payment_type_mode"))
+    return mode_per_group(payments_with_null_type(spark, sf_dir), "order_id", "payment_type",
+                          "payment_type_mode")
 
 
 @register("round_coordinates")

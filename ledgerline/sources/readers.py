@@ -70,16 +70,19 @@ def read_json_envelope(spark: SparkSession, path: str, record_schema: T.StructTy
                        multi_line: bool = False) -> DataFrame:
     """Rows of ``{"value": [...]}`` envelopes, or the records themselves.
 
-    The file is read once with a schema holding both shapes: envelope rows
-    are exploded with ``inline``, plain records pass through. Each envelope is
+    The file is read once with a schema holding both shapes: a row's records are
+    those of its envelope, or else the row itself. An object without any declared
+    field (``{"value": null}``, ``{}``) holds no record. Each envelope is
     one page of a paged payload, so no single row carries the whole table.
     """
     both = T.StructType([T.StructField("value", T.ArrayType(record_schema)), *record_schema.fields])
     raw = spark.read.schema(both).option("multiLine", multi_line).json(path)
     names = record_schema.fieldNames()
-    pages = raw.where(F.col("value").isNotNull()).select(F.inline("value")).select(*names)
-    plain = raw.where(F.col("value").isNull()).select(*names)
-    return pages.unionByName(plain)
+    some = F.lit(False)
+    for name in names:
+        some = some | F.col(name).isNotNull()
+    alone = F.when(some, F.array(F.struct(*names)))  # null: inline gives no row
+    return raw.select(F.inline(F.coalesce("value", alone))).select(*names)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -121,10 +124,10 @@ def newest_entry(spark: SparkSession, root: str, suffixes: set[str] | None = Non
                  ignore_dirs: list[str] | None = None) -> str:
     """The most recently modified dataset under ``root``.
 
-    A dataset is a top-level entry of ``root``: a single landed file, or a
-    directory of part files (its time is that of its newest file). Files are
-    found recursively; suffixes match case-insensitively; entries inside
-    ``ignore_dirs`` are skipped. The listing runs as a Spark job over file
+    A dataset is a single landed file at any depth, or the directory of a set of
+    ``part-`` files (above any ``key=value`` level; its time is that of its newest
+    file). Files are found recursively; suffixes match case-insensitively; entries
+    inside ``ignore_dirs`` are skipped. The listing runs as a Spark job over file
     metadata (``_metadata``), and only the winning path returns to the driver.
     """
     allowed = sorted({s.lower() for s in (suffixes or set(SUPPORTED_SUFFIXES))})
@@ -136,7 +139,8 @@ def newest_entry(spark: SparkSession, root: str, suffixes: set[str] | None = Non
     base = files.select(F.regexp_extract("file_path", r"^(.*?)/?$", 1).alias("p"), "mtime")
     root_uri = _qualified(spark, root).rstrip("/")
     rel = F.substring(F.col("p"), len(root_uri) + 2, 1 << 30)
-    candidates = base.withColumn("rel", rel).withColumn("top", F.split("rel", "/").getItem(0))
+    whole = F.regexp_replace("rel", r"(/[^/=]+=[^/]*)*/part-[^/]*$", "")
+    candidates = base.withColumn("rel", rel).withColumn("top", whole)
     ok: Column = F.lit(False)
     name = F.lower(F.regexp_extract("rel", r"([^/]+)$", 1))
     for s in allowed:

@@ -9,7 +9,8 @@ from decimal import Decimal
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from ledgerline.functions import day_diff, mode_of, sum_money
+from ledgerline.functions import day_diff, sum_money
+from ledgerline.operators.modes import mode_per_group
 from ledgerline.operators import gold as G
 from ledgerline.operators import quality as Q
 
@@ -70,7 +71,7 @@ def test_window_rank_agrees_with_min_by(spark, rows):
                        min_size=1, max_size=30))
 def test_mode_matches_brute_force(spark, values):
     df = spark.createDataFrame([(1, v) for v in values], "k int, v string")
-    got = df.groupBy("k").agg(mode_of("v").alias("m")).first().m
+    got = mode_per_group(df, "k", "v", "m").first().m
     present = [v for v in values if v is not None]
     if not present:
         assert got is None

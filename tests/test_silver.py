@@ -7,30 +7,20 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.functions import mode_of
+from ledgerline.operators.modes import mode_per_group
 from ledgerline.operators.silver import build_bronze, build_silver
 from tests.conftest import rows_by
 
 
-def _mode(spark, values):
-    df = spark.createDataFrame([(1, v) for v in values], "k int, v string")
-    return df.groupBy("k").agg(mode_of("v").alias("m")).first()
-
-
-@pytest.mark.parametrize("values, expected", [
-    (["SP", "SP", "RJ", "SP"], "SP"),
-    (["RJ"], "RJ"),
-    ([None, "SP", "SP", None], "SP"),
-    ([None, None, None], None),
-    (["RJ", "SP"], "RJ"),            # tie: smallest value
-])
-def test_mode(spark, values, expected):
-    assert _mode(spark, values)["m"] == expected
-
-
-def test_mode_of_empty_group_set(spark):
-    df = spark.createDataFrame([], "k int, v string")
-    assert df.groupBy("k").agg(mode_of("v")).count() == 0
+@pytest.mark.parametrize("parts", [1, 5])
+def test_mode_per_group(spark, parts):
+    groups = {"one": ["x"], "most": ["b", "a", "b", "c", "b"], "tie": ["n", "m", "m", "n", "z"],
+              "gaps": [None, "q", None, None], "none": [None, None]}
+    rows = [(k, v) for k, values in groups.items() for v in values]
+    df = spark.createDataFrame(rows, "k string, v string").repartition(parts)
+    assert {r["k"]: r["m"] for r in mode_per_group(df, "k", "v", "m").collect()} == {
+        "one": "x", "most": "b", "tie": "m", "gaps": "q", "none": None}
+    assert mode_per_group(df.limit(0), "k", "v", "m").count() == 0
 
 
 def test_silver_table_names(raw_tables):

@@ -59,6 +59,12 @@ def test_envelope_and_plain_records(spark):
     assert readers.read_json_envelope(spark, whole, SCHEMA, multi_line=True).count() == 2
 
 
+def test_envelope_without_records(spark):
+    path = _write_text(spark, "hollow.json", '{"value": null}\n{"value": []}\n{}\n{"note": "kept"}\n{"value": [{"id": "7"}]}\n')
+    rows = readers.read_json_envelope(spark, path, SCHEMA).collect()
+    assert sorted((r.id or "", r.note or "") for r in rows) == [("", "kept"), ("7", "")]
+
+
 def test_envelope_pages_are_bounded(spark):
     df = spark.range(2500).selectExpr("cast(id as string) as id", "'n' as note", "1.0 as amount")
     path = scratch_path(spark, "pages")
@@ -161,6 +167,19 @@ def test_newest_entry_picks_single_files_at_the_root(spark):
     assert readers.read_by_suffix(spark, newest, SCHEMA).count() == 1
 
 
+def test_newest_entry_finds_nested_files_and_partitioned_sets(spark, tmp_path):
+    for i, name in enumerate(["2024/01/new.csv", "2024/02/old.csv"]):
+        path = tmp_path / "land" / name
+        path.parent.mkdir(parents=True)
+        path.write_text("id,note,amount\n1,a,1\n")
+        os.utime(path, (1_700_000_000 - i * 100,) * 2)
+    newest = readers.newest_entry(spark, str(tmp_path / "land"), {".csv"})
+    assert newest.endswith("/land/2024/01/new.csv")
+    assert readers.read_by_suffix(spark, newest, SCHEMA).count() == 1
+    spark.range(6).selectExpr("id", "id % 2 as p").write.partitionBy("p").parquet(f"{tmp_path}/sets/deep/numbers")
+    assert readers.newest_entry(spark, f"{tmp_path}/sets", {".parquet"}).endswith("/sets/deep/numbers")
+
+
 def test_load_dataset_quoted_newlines_null_tokens_and_wide_integers(spark, tmp_path):
     (tmp_path / "order_reviews.csv").write_text(
         "review_id,order_id,review_score,review_comment_title,review_comment_message,"
