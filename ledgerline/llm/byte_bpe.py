@@ -9,6 +9,7 @@ task is encoded once by the library and reused.
 ``encode`` returns ids as little-endian unsigned 32-bit integers in one binary
 (4 bytes a token) and, if asked for, each token's character offsets in the text.
 Tokens that hold part of a character's bytes share that character's offsets.
+With ``decoded`` the same task also decodes the ids it made, so texts go to Python once.
 ``decode`` reverses the byte table; joined bytes are exact even where a token
 ends inside a character. ``token_texts`` gives one string per token: a split
 character belongs to the token that completes it.
@@ -23,6 +24,7 @@ from __future__ import annotations
 import base64
 import codecs
 import json
+import os
 import re
 from collections.abc import Iterator, Sequence
 
@@ -40,7 +42,9 @@ RANKS = "byte_bpe_50k.tiktoken"
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECES = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 #: Distinct pieces a task remembers at once; beyond it the memory is emptied and filled anew.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
+#: Pieces handed to the library at once, whose results are large objects.
+HANDED = 4096
 
 
 def byte_characters() -> list[str]:
@@ -100,6 +104,7 @@ class BytePairCodec:
     def open(self):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         return Tokenizer.from_str(self.spec)
 
     def encoder(self, offsets: bool = False):
@@ -112,9 +117,10 @@ class BytePairCodec:
             if len(memory) + len(new) > REMEMBERED:
                 memory.clear()
                 new = list({p for pieces in cuts for p in pieces})
-            for piece, e in zip(new, (library.encode_batch if offsets else library.encode_batch_fast)(new, add_special_tokens=False)):
-                ids = np.array(e.ids, "<u4").tobytes()
-                memory[piece] = (ids, np.array(e.offsets, "int32").reshape(-1, 2)) if offsets else ids
+            for some in (new[i:i + HANDED] for i in range(0, len(new), HANDED)):
+                for piece, e in zip(some, (library.encode_batch if offsets else library.encode_batch_fast)(some, add_special_tokens=False)):
+                    ids = np.array(e.ids, "<u4").tobytes()
+                    memory[piece] = (ids, np.array(e.offsets, "int32").reshape(-1, 2)) if offsets else ids
             if not offsets:
                 return [(b"".join(map(memory.__getitem__, pieces)), None, None) for pieces in cuts]
             out = []
@@ -148,22 +154,28 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) ->
 
 
 def encode(df: DataFrame, codec: BytePairCodec, text_col: str = "text", keep: Sequence[str] = ("doc_id",),
-           offsets: bool = False) -> DataFrame:
-    """``keep`` columns, ``n_tokens`` and ``ids``; with ``offsets`` also ``starts`` and ``ends``."""
+           offsets: bool = False, decoded: bool = False) -> DataFrame:
+    """``keep`` columns, ``n_tokens`` and ``ids``; with ``offsets`` also ``starts`` and ``ends``,
+    with ``decoded`` the bytes that the ids stand for."""
     shared = df.sparkSession.sparkContext.broadcast((codec.spec, codec.tokens))  # as large as the vocabulary
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
     if offsets:
         fields += [T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("starts", "ends")]
+    if decoded:
+        fields.append(T.StructField("decoded", T.BinaryType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coded = BytePairCodec(*shared.value).encoder(offsets)
-        for batch in slices(batches, "_text"):
+        codec = BytePairCodec(*shared.value)
+        coded = codec.encoder(offsets)
+        for batch in slices(batches, "_text", 1 << 20):
             out = coded(batch.column("_text").to_pylist())
             columns = {c: batch.column(c) for c in keep}
             columns["n_tokens"] = pa.array([len(x[0]) // 4 for x in out], pa.int64())
             columns["ids"] = pa.array([x[0] for x in out], pa.binary())
             if offsets:
                 columns |= {c: pa.array([x[k].tolist() for x in out], pa.list_(pa.int32())) for k, c in ((1, "starts"), (2, "ends"))}
+            if decoded:
+                columns["decoded"] = pa.array([codec.decode(x[0]) for x in out], pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
 
     source = df.select(*[F.col(f"`{c}`") for c in keep], text_or_empty(f"`{text_col}`").alias("_text"))
@@ -172,11 +184,11 @@ def encode(df: DataFrame, codec: BytePairCodec, text_col: str = "text", keep: Se
 
 def decode(df: DataFrame, codec: BytePairCodec, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the bytes that its ids stand for (``cast('string')`` is the text)."""
-    shared = df.sparkSession.sparkContext.broadcast((codec.spec, codec.tokens))
+    shared = df.sparkSession.sparkContext.broadcast(codec.tokens)  # the byte strings of the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        back = BytePairCodec(*shared.value).decode
-        for batch in slices(batches, ids_col):
+        back = BytePairCodec("", shared.value).decode
+        for batch in slices(batches, ids_col, 1 << 20):
             decoded = pa.array([None if x is None else back(x) for x in batch.column(ids_col).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[*batch.schema.names, out_col])
 
@@ -188,7 +200,6 @@ def codec_of(path: str | None = None) -> BytePairCodec:
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codec = codec_of()
-    coded = decode(encode(table(spark, sf_dir, "documents"), codec), codec)
+    coded = encode(table(spark, sf_dir, "documents"), codec_of(), decoded=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))

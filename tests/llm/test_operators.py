@@ -103,7 +103,9 @@ def test_byte_bpe_round_trip(docs, empty):
         assert bytes(got[i]["decoded"]) == t.encode()
         assert "".join(codec.token_texts(bytes(got[i]["ids"]))) == t
         assert all(a <= b for a, b in zip(got[i]["starts"], got[i]["ends"])) and (not ids or got[i]["ends"][-1] == len(t))
-    assert byte_bpe.encode(empty, codec).count() == 0
+    once = by_id(byte_bpe.encode(docs, codec, decoded=True))
+    assert all((once[i]["ids"], once[i]["decoded"]) == (r["ids"], r["decoded"]) for i, r in got.items()) and len(once) == len(got)
+    assert byte_bpe.encode(empty, codec, decoded=True).count() == 0
 
 
 def test_byte_bpe_cuts_like_the_library():
