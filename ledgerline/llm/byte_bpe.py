@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import table, text_or_empty
+from ledgerline.llm.common import give_back, small_batches, table, text_or_empty
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Unicode White_Space, which is what \s means to the library (\x1c to \x1f are not in it).
@@ -151,6 +151,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) ->
             end = max(start + 1, int(np.searchsorted(size, (size[start - 1] if start else 0) + most, "right")))
             yield batch.slice(start, end - start)
             start = end
+    give_back()
 
 
 def encode(df: DataFrame, codec: BytePairCodec, text_col: str = "text", keep: Sequence[str] = ("doc_id",),
@@ -178,7 +179,7 @@ def encode(df: DataFrame, codec: BytePairCodec, text_col: str = "text", keep: Se
                 columns["decoded"] = pa.array([codec.decode(x[0]) for x in out], pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
 
-    source = df.select(*[F.col(f"`{c}`") for c in keep], text_or_empty(f"`{text_col}`").alias("_text"))
+    source = small_batches(df).select(*[F.col(f"`{c}`") for c in keep], text_or_empty(f"`{text_col}`").alias("_text"))
     return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], *fields]))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import scratch_path
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,6 +34,24 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bound the batches that go to Python by bytes, where the session has Spark's default of 64 MB.
+
+    A task holds a batch several times over (JVM, Arrow, Python objects).
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, "67108864b") == "67108864b":
+        conf.set(BATCH_SETTING, "4m")
+    return df
+
+
+def give_back() -> None:
+    """Return freed memory to the system at a task's end, as its Python process waits for others."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
     """Rows sorted by ``keys``, regrouped so that no group is cut between two tables."""
     rest = None
@@ -44,6 +65,8 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iter
         rest = got.slice(cut)
     if rest is not None and rest.num_rows:
         yield rest
+    del rest
+    give_back()
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.byte_bpe import slices
-from ledgerline.llm.common import connected_components, table, text_or_empty, whole_groups, written
+from ledgerline.llm.common import connected_components, give_back, small_batches, table, text_or_empty, whole_groups, written
 
 #: (hash functions, rows of a band): the bands of all documents, then those of crowded buckets.
 LEVELS = ((36, 3), (352, 8))
@@ -121,14 +121,15 @@ class MinMax:
         return np.stack(keys, 1).view(np.int64)
 
 
-def signatures(docs: DataFrame, width: int, functions: int, rows: int, seed: int = SEED) -> DataFrame:
-    """(doc_id, n, digest, bands) of (doc_id, text as binary); digest and bands are null for empty sets."""
+def signatures(docs: DataFrame, width: int, functions: int, rows: int, seed: int = SEED, compressed: bool = False) -> DataFrame:
+    """(doc_id, n, digest, bands) of (doc_id, text as binary, ``compressed`` or not); digest and bands are null for empty sets."""
     make = lambda: MinMax(width, functions, rows, seed)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = make()
-        for batch in slices(batches, "text", 2 << 20):
-            sets = hashed.shingles(batch.column("text").to_pylist())
+        hashed, unpack = make(), zstandard.ZstdDecompressor().decompress
+        for batch in slices(batches, "text", 1 << 18 if compressed else 1 << 20):
+            texts = batch.column("text").to_pylist()
+            sets = hashed.shingles([unpack(t) for t in texts] if compressed else texts)
             full = [s for s in sets if len(s)]
             keys = iter(hashed.bands(full).tolist() if full else [])
             yield pa.RecordBatch.from_arrays([
@@ -150,17 +151,6 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(pack, "doc_id long, words binary")
 
 
-def unpacked(texts: DataFrame) -> DataFrame:
-    """(doc_id, text) of packed words (cls, words)."""
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        back = zstandard.ZstdDecompressor().decompress
-        for batch in slices(batches, "words", 1 << 20):
-            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array([back(w) for w in batch.column("words").to_pylist()], pa.binary())], names=["doc_id", "text"])
-
-    return texts.select("cls", "words").mapInArrow(unpack, "doc_id long, text binary")
-
-
 def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity; ``texts``: (cls, words)."""
 
@@ -175,6 +165,8 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: int) ->
                 both = len(mine & other)
                 keep.append(100 * both >= similarity * (len(mine) + len(other) - both))
             yield batch.loc[np.array(keep, bool), ["a", "b"]]
+        del mine
+        give_back()
 
     left = texts.select(F.col("cls").alias("a"), F.col("words").alias("words_a"))
     right = texts.select(F.col("cls").alias("b"), F.col("words").alias("words_b"))
@@ -196,7 +188,8 @@ def crowded(large: DataFrame, texts: DataFrame, width: int, similarity: int) ->
                 x = parent[x]
             return x
 
-        sets = [shingle_set(unpack(w).split(), width) for w in rows["words"]]
+        numbers: dict[tuple, int] = {}  # one small integer per distinct shingle of the unit
+        sets = [{numbers.setdefault(x, len(numbers)) for x in shingle_set(unpack(w).split(), width)} for w in rows["words"]]
         cls, comp, block = rows["cls"].tolist(), rows["comp"].tolist(), rows["c"].tolist()
         one = rows["c1"].iloc[0] == rows["c2"].iloc[0]
         groups: dict[int, list[int]] = {}  # members of each component joined so far
@@ -266,7 +259,7 @@ def class_links(entries: DataFrame, texts: DataFrame, width: int, similarity: in
             return connected_components(links)
         if depth + 1 < len(levels):  # sharper bands for the classes of large buckets
             dense = texts.join(large.select("cls").distinct(), "cls", "left_semi")
-            sharper = signatures(unpacked(dense), width, *levels[depth + 1], seed + depth + 1)
+            sharper = signatures(dense.select(F.col("cls").alias("doc_id"), F.col("words").alias("text")), width, *levels[depth + 1], seed + depth + 1, compressed=True)
             entries = sharper.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("cls"), "n", F.col("doc_id").alias("comp"))
     for turn in range(rounds):
         huge = large.where(F.col("m") > BLOCK)
@@ -285,7 +278,7 @@ def class_links(entries: DataFrame, texts: DataFrame, width: int, similarity: in
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = SIMILARITY, levels=LEVELS,
                     rounds: int = ROUNDS, small: int = SMALL, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
-    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(f"`{text_col}`").cast("binary").alias("text"))
+    docs = small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(f"`{text_col}`").cast("binary").alias("text"))
     signed = written(signatures(docs, width, *levels[0], seed), "signatures")
     real = signed.where("doc_id is not null and digest is not null")
     classes = written(real.groupBy("digest").agg(F.min("doc_id").alias("cls")), "classes")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import table, text_or_empty, written
+from ledgerline.llm.common import give_back, small_batches, table, text_or_empty, written
 
 FEATURES = 192
 SAMPLE = 100_000
@@ -142,7 +142,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES, ridge: float = RIDGE,
         seed: int = SEED) -> Model:
-    rows = training_rows(docs, labels, sample)
+    rows = training_rows(small_batches(docs), labels, sample)
     wide = rows.select("y", *[F.col("x")[i].alias(f"x{i}") for i in range(N_STATISTICS)])
     names = [f"x{i}" for i in range(N_STATISTICS)]
     s = wide.agg(F.count("*").alias("n"), F.avg("y").alias("y"), *[F.avg(c).alias(f"m_{c}") for c in names],
@@ -194,8 +194,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
         own = model_of(*shared.value)
         for t in texts:
             yield pd.Series(own.score(measure(t)) if len(t) else [], dtype="float64")
+        give_back()
 
-    return docs.withColumn(out, scored(text_or_empty(f"`{text_col}`")))
+    return small_batches(docs).withColumn(out, scored(text_or_empty(f"`{text_col}`")))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

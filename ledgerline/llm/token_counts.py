@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.byte_bpe import slices
-from ledgerline.llm.common import table, text_or_empty, written
+from ledgerline.llm.common import small_batches, table, text_or_empty, written
 
 VOCABULARY = "word_bpe_49k.json"
 HOT_ROWS = 1 << 18
@@ -103,7 +103,7 @@ def frequent(counted: DataFrame, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, i
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_tokens."""
-    docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(f"`{text_col}`").cast("binary").alias("text"))
+    docs = small_batches(docs).select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(f"`{text_col}`").cast("binary").alias("text"))
     counted = written(piece_counts(frequencies(docs), path), "pieces")
     hot, least = frequent(counted, hot_rows)
     known = docs.sparkSession.sparkContext.broadcast({bytes(r["piece"]): r["tokens"] for r in hot.select("piece", "tokens").toLocalIterator()})
