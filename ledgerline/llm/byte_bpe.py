@@ -42,7 +42,7 @@ RANKS = "byte_bpe_50k.tiktoken"
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECES = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 #: Distinct pieces a task remembers at once; beyond it the memory is emptied and filled anew.
-REMEMBERED = 100_000
+REMEMBERED = 250_000
 #: Pieces handed to the library at once, whose results are large objects.
 HANDED = 4096
 
