@@ -241,6 +241,31 @@ def test_pii(docs, empty):
     assert pii.pii_spans(empty).count() == 0
 
 
+def test_pii_iban_ends_and_context_on_both_sides(spark):
+    # Text and the spans to find, as (kind, piece of the text).
+    cases = [("IBAN BE68 5390 0754 7034 BIC GKCCBEBB", [("iban", "BE68 5390 0754 7034")]),
+             ("AT61 1904 3002 3457 3201 BIC BKAUATWW", [("iban", "AT61 1904 3002 3457 3201")]),
+             ("AT611904300234573201 BIC BKAUATWW", [("iban", "AT611904300234573201")]),
+             ("ES91 2100 0418 4502 0005 1332 SWIFT X", [("iban", "ES91 2100 0418 4502 0005 1332")]),
+             ("BE68 5390 0754 7034 AT611904300234573201 NO93 8601 1117 947", [("iban", "BE68 5390 0754 7034"), ("iban", "AT611904300234573201"), ("iban", "NO93 8601 1117 947")]),
+             ("MT84 MALT 0110 0001 2345 MTLC AST0 01S IBAN", [("iban", "MT84 MALT 0110 0001 2345 MTLC AST0 01S")]),
+             ("ref AB13 BE68 5390 0754 7034 end", [("iban", "BE68 5390 0754 7034")]),
+             ("ref AB12 BE68 5390 0754 7034 end", [("iban", "AB12 BE68 5390 0754 7034"), ("iban", "BE68 5390 0754 7034")]),  # no such country, but mod-97 holds
+             ("DE89 3704 0044 0532 0130 00, DE88 3704 0044 0532 0130 00", [("iban", "DE89 3704 0044 0532 0130 00")]),
+             ("BE68 5390 0754 7034x BE68 5390 0754 70341", []),
+             ("XX07 5390 0754 7034 BIC", [("iban", "XX07 5390 0754 7034")]),
+             ("SSN 123-45-6789, 234-56-7890", [("ssn", "123-45-6789"), ("ssn", "234-56-7890")]),
+             ("é日 123-45-6789 is the social number", [("ssn", "123-45-6789")]),
+             ("123-45-6789, 234-56-7890 (SSN)", [("ssn", "123-45-6789"), ("ssn", "234-56-7890")]),
+             ("SSN" + " ." * 30 + " 123-45-6789" + " ." * 30 + " SSN", [])]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = by_id(pii.pii_spans(docs))
+    for i, (t, want) in enumerate(cases):
+        assert [(s["kind"], t[s["start"]:s["end"]]) for s in got[i]["spans"] if s["kind"] in ("iban", "ssn")] == want, t
+    both = [s["score"] for s in by_id(pii.pii_spans(spark.createDataFrame([(1, "a@b.cd is my mail, x@y.zw")], "doc_id long, text string")))[1]["spans"]]
+    assert both == [1.0, 1.0]
+
+
 def test_quality_learns_and_scores_everything(spark, empty):
     rng = random.Random(11)
     rows, labels = [], []
