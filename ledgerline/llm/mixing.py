@@ -20,7 +20,8 @@ rows is spread over 4096 groups.
 Defined cases: a null or blank text has size 0 and taken 0; a null source is a
 source of its own, last in order; repeated rows and ties are ordered by
 (hash, doc_id, size), equal rows being interchangeable; an empty table gives an
-empty result; extra columns pass through ``mix`` untouched.
+empty result; extra columns, of any name, pass through ``mix`` untouched (its own
+result column takes another name where the input has a ``_mix``: ``result_name``).
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ from ledgerline.llm.common import table, text_or_empty, written
 WEIGHTS = (1, 2, 3)
 SLOPES = (-0.5, 0.0, 0.5)
 CAP = 3
-#: Private names, so that no column of the input clashes.
-KEY, ORDER, BUCKET, SIZE = "_mix_source", "_mix_order", "_mix_bucket", "_mix_size"
+#: Names of the plan's own columns; the input's travel in the struct ROW, where none of them can clash.
+ROW, KEY, ORDER, BUCKET, SIZE = "_mix_row", "_mix_source", "_mix_order", "_mix_bucket", "_mix_size"
 
 
 def word_count(text: Column) -> Column:
@@ -45,12 +46,13 @@ def word_count(text: Column) -> Column:
 
 
 def keyed(docs: DataFrame, seed: int = 0, size: Column | None = None) -> DataFrame:
-    """``docs`` with the source key, size, order and hash bucket of each row."""
+    """``docs`` as a struct, with the source key, size, order and hash bucket of each row."""
     order = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f"|{seed}")))
-    return docs.withColumns({
-        KEY: F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source").cast("string"))),
-        SIZE: word_count(text_or_empty()) if size is None else size,
-        ORDER: order, BUCKET: F.substring(order, 1, 3)})
+    source = F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source").cast("string")))
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW), source.alias(KEY),
+        (word_count(text_or_empty()) if size is None else size).alias(SIZE),
+        order.alias(ORDER), F.substring(order, 1, 3).alias(BUCKET))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, slopes: Sequence[float] = SLOPES,
@@ -83,10 +85,17 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, slopes: S
     return r.select(KEY, "source_size", "slope", target.alias("target"))
 
 
-def mix(docs: DataFrame, seed: int = 0, size: Column | None = None, weights: Sequence[int] = WEIGHTS,
-        slopes: Sequence[float] = SLOPES, cap: int = CAP) -> DataFrame:
-    """``docs`` (doc_id, source, text or ``size``, any other columns) with a struct ``_mix``:
-    size, source_size, target, copies, taken, positions (one per copy, ascending)."""
+def result_name(docs: DataFrame) -> str:
+    """``_mix``, with as many more underscores before it as no column of ``docs`` has that name."""
+    name, used = "_mix", {c.lower() for c in docs.columns}
+    while name in used:
+        name = "_" + name
+    return name
+
+
+def planned(docs: DataFrame, seed: int = 0, size: Column | None = None, weights: Sequence[int] = WEIGHTS,
+            slopes: Sequence[float] = SLOPES, cap: int = CAP) -> DataFrame:
+    """The rows of ``docs`` as the struct ROW, with the struct ``_mix`` of ``mix``."""
     rows = keyed(docs, seed, size)
     buckets = written(rows.groupBy(KEY, BUCKET).agg(F.sum(SIZE).alias("words")), "mix-buckets")
     targets = source_targets(buckets.groupBy(KEY).agg(F.sum("words").alias("source_size")), weights, slopes, cap)
@@ -94,7 +103,7 @@ def mix(docs: DataFrame, seed: int = 0, size: Column | None = None, weights: Seq
     starts = (buckets.withColumn("start", F.sum("words").over(along) - F.col("words"))
               .join(targets, KEY)
               .select(KEY, BUCKET, F.struct("start", "source_size", "target", "slope").alias("_mix_at")))
-    inside = W.partitionBy(KEY, BUCKET).orderBy(ORDER, "doc_id", SIZE).rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = W.partitionBy(KEY, BUCKET).orderBy(ORDER, f"{ROW}.doc_id", SIZE).rowsBetween(W.unboundedPreceding, W.currentRow)
     at, n, words = F.col("_mix_at"), F.col(SIZE), F.col("_mix_at.source_size")
     start = at["start"] + F.col("_mix_run") - n
     whole = F.when(words > 0, F.least(F.floor(at["target"] / words), F.lit(cap))).otherwise(F.lit(0)).cast("int")
@@ -104,18 +113,23 @@ def mix(docs: DataFrame, seed: int = 0, size: Column | None = None, weights: Seq
     flat = lambda u: 2 * u / ((1 - at["slope"]) + F.sqrt((1 - at["slope"]) * (1 - at["slope"]) + 4 * at["slope"] * u))
     positions = F.when(F.col("_mix_copies") > 0, F.transform(F.sequence(F.lit(0), F.col("_mix_copies") - 1), lambda i: flat(share(i)))) \
         .otherwise(F.array().cast("array<double>"))
-    planned = (rows.withColumn("_mix_run", F.sum(SIZE).over(inside)).join(starts, [KEY, BUCKET])
-               .withColumns({"_mix_start": start, "_mix_copies": copies}))
-    return planned.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(
+    placed = (rows.withColumn("_mix_run", F.sum(SIZE).over(inside)).join(starts, [KEY, BUCKET])
+              .withColumns({"_mix_start": start, "_mix_copies": copies}))
+    return placed.select(ROW, F.struct(
         n.alias("size"), words.alias("source_size"), at["target"].alias("target"), F.col("_mix_copies").alias("copies"),
         (n * F.col("_mix_copies")).alias("taken"), positions.alias("positions")).alias("_mix"))
 
 
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` (doc_id, source, text or ``size``, any other columns) with a struct ``_mix`` (see ``result_name``):
+    size, source_size, target, copies, taken, positions (one per copy, ascending)."""
+    return planned(docs, **options).select(f"{ROW}.*", F.col("_mix").alias(result_name(docs)))
+
+
 def curriculum(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus itself: one row per copy, range-sorted by training position."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    copies = mix(docs, **options).select(*columns, F.explode("_mix.positions").alias("_mix_position"))
-    return copies.orderBy("_mix_position", "doc_id").select(*columns)
+    copies = planned(docs, **options).select(ROW, F.explode("_mix.positions").alias("_mix_position"))
+    return copies.orderBy("_mix_position", f"{ROW}.doc_id").select(f"{ROW}.*")
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
