@@ -22,7 +22,7 @@ Comparisons use the documents' words themselves (compressed while shuffled).
 
 Defined cases: null or blank texts have no shingle and link with nothing; with fewer
 words than a shingle the whole sequence is the one shingle; rows repeated with a doc_id
-share a component; a null doc_id links with nothing (component null, kept); an
+share a component, which each of their texts that has shingles links on its own; a null doc_id links with nothing (component null, kept); an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -122,7 +122,7 @@ class MinMax:
 
 
 def signatures(docs: DataFrame, width: int, functions: int, rows: int, seed: int = SEED, compressed: bool = False) -> DataFrame:
-    """(doc_id, n, digest, bands) of (doc_id, text as binary, ``compressed`` or not); digest and bands are null for empty sets."""
+    """(doc_id, th, n, digest, bands) of (doc_id, th, text as binary, ``compressed`` or not); digest and bands are null for empty sets."""
     make = lambda: MinMax(width, functions, rows, seed)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,11 +133,11 @@ def signatures(docs: DataFrame, width: int, functions: int, rows: int, seed: int
             full = [s for s in sets if len(s)]
             keys = iter(hashed.bands(full).tolist() if full else [])
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                batch.column("doc_id"), batch.column("th"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64()))], names=["doc_id", "n", "digest", "bands"])
+                pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64()))], names=["doc_id", "th", "n", "digest", "bands"])
 
-    return docs.mapInArrow(sign, "doc_id long, n long, digest binary, bands array<long>")
+    return docs.mapInArrow(sign, "doc_id long, th long, n long, digest binary, bands array<long>")
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -146,9 +146,9 @@ def packed(docs: DataFrame) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3).compress
         for batch in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([press(b" ".join(words_of(t))) for t in batch.column("text").to_pylist()], pa.binary())], names=["doc_id", "words"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array([press(b" ".join(words_of(t))) for t in batch.column("text").to_pylist()], pa.binary())], names=["doc_id", "th", "words"])
 
-    return docs.mapInArrow(pack, "doc_id long, words binary")
+    return docs.mapInArrow(pack, "doc_id long, th long, words binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: int) -> DataFrame:
@@ -238,10 +238,10 @@ def renamed(entries: DataFrame, components: DataFrame) -> DataFrame:
             .select("bucket", "cls", "n", F.coalesce("component", "cls").alias("comp")))
 
 
-def class_links(entries: DataFrame, texts: DataFrame, width: int, similarity: int, levels, rounds: int, small: int, seed: int) -> DataFrame:
-    """(v, component) of the linked classes; ``entries``: (bucket, cls, n, comp), ``texts``: (cls, words)."""
+def class_links(entries: DataFrame, texts: DataFrame, width: int, similarity: int, levels, rounds: int, small: int, seed: int,
+                links: DataFrame | None = None) -> DataFrame:
+    """(v, component) of the linked classes; ``entries``: (bucket, cls, n, comp), ``texts``: (cls, words), ``links``: (a, b) known before."""
     near = (100 * F.least("n", "n_a") >= similarity * F.greatest("n", "n_a")) & (F.col("comp") != F.col("comp_a"))
-    links = None
 
     def compared(pairs: DataFrame) -> DataFrame:
         found = written(verified(pairs.withColumnRenamed("cls", "b").distinct(), texts, width, similarity), "links")
@@ -259,7 +259,7 @@ def class_links(entries: DataFrame, texts: DataFrame, width: int, similarity: in
             return connected_components(links)
         if depth + 1 < len(levels):  # sharper bands for the classes of large buckets
             dense = texts.join(large.select("cls").distinct(), "cls", "left_semi")
-            sharper = signatures(dense.select(F.col("cls").alias("doc_id"), F.col("words").alias("text")), width, *levels[depth + 1], seed + depth + 1, compressed=True)
+            sharper = signatures(dense.select(F.col("cls").alias("doc_id"), F.lit(0).cast("long").alias("th"), F.col("words").alias("text")), width, *levels[depth + 1], seed + depth + 1, compressed=True)
             entries = sharper.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("cls"), "n", F.col("doc_id").alias("comp"))
     for turn in range(rounds):
         huge = large.where(F.col("m") > BLOCK)
@@ -275,19 +275,41 @@ def class_links(entries: DataFrame, texts: DataFrame, width: int, similarity: in
     return connected_components(links)
 
 
+def class_names(real: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``classes`` (digest, doc_id, th) with ``cls``, and links (a, b) of classes by a common doc_id, if any.
+
+    A class is named by its smallest doc_id. Where that id stands for several sets, each gets a
+    number above all ids instead and is linked with the id, so that no name of a component changes.
+    """
+    h = F.xxhash64("digest")
+    several = real.groupBy("doc_id").agg(F.min(h).alias("lo"), F.max(h).alias("hi")).where("lo <> hi")
+    several = written(several.select("doc_id"), "several")
+    if several.isEmpty():
+        return written(classes.withColumn("cls", F.col("doc_id")), "classes"), None
+    above = real.agg(F.max("doc_id")).first()[0] + 1
+    own = classes.join(several, "doc_id", "left_anti").withColumn("cls", F.col("doc_id"))
+    new = classes.join(several, "doc_id", "left_semi").withColumn("cls", F.lit(above) + F.monotonically_increasing_id())
+    classes = written(own.unionByName(new), "classes")
+    links = real.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("b"), "digest").join(classes.select("digest", "cls"), "digest")
+    return classes, written(links.select(F.col("cls").alias("a"), "b").where("a <> b").distinct(), "links")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = SIMILARITY, levels=LEVELS,
                     rounds: int = ROUNDS, small: int = SMALL, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
     docs = small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(f"`{text_col}`").cast("binary").alias("text"))
+    docs = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     signed = written(signatures(docs, width, *levels[0], seed), "signatures")
     real = signed.where("doc_id is not null and digest is not null")
-    classes = written(real.groupBy("digest").agg(F.min("doc_id").alias("cls")), "classes")
-    heads = real.join(classes.withColumnRenamed("cls", "doc_id"), ["digest", "doc_id"], "left_semi")
-    entries = heads.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("cls"), "n", F.col("doc_id").alias("comp")).distinct()
+    # A class is a set; ``doc_id`` and ``th`` name the text that stands for it.
+    classes = real.groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("first")).select("digest", "first.*")
+    classes, same = class_names(real, classes)
+    heads = real.join(classes, ["digest", "doc_id", "th"])
+    entries = heads.select(F.explode("bands").alias("bucket"), "cls", "n", F.col("cls").alias("comp")).distinct()
     entries = shared_buckets(entries).drop("m")
-    wanted = entries.select(F.col("cls").alias("doc_id")).distinct()
-    texts = written(packed(docs).join(wanted, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("cls")).agg(F.max("words").alias("words")), "words")
-    linked = class_links(entries, texts, width, similarity, levels, rounds, small, seed)
+    wanted = classes.join(entries.select("cls").distinct(), "cls", "left_semi").select("doc_id", "th", "cls")
+    texts = written(packed(docs).join(wanted, ["doc_id", "th"]).groupBy("cls").agg(F.max("words").alias("words")), "words")
+    linked = class_links(entries, texts, width, similarity, levels, rounds, small, seed, same)
     named = classes.join(linked.withColumnRenamed("v", "cls"), "cls", "left").select("digest", F.coalesce("component", "cls").alias("component_id"))
     placed = real.select("doc_id", "n", "digest").join(named, "digest").select("doc_id", "n", "component_id")
     alone = signed.where("doc_id is null or digest is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
