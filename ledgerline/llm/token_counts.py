@@ -38,8 +38,16 @@ LIMIT = 2048
 
 
 def pre_tokens(text: bytes) -> list[bytes]:
-    """Lower-casing A-Z first merges most keys; a text that may spell a special string keeps its case."""
-    return (text if b"<|" in text else text.lower()).split()
+    """Lower-casing A-Z first merges most keys; a text that may spell a special string keeps its case.
+
+    So does a pre-token with a combining mark (U+0300 to U+036F begin with 0xCC or 0xCD, which no other
+    place of UTF-8 holds): the library composes before it lower-cases, and j may compose where J does not.
+    """
+    if b"<|" in text:
+        return text.split()
+    if b"\xcc" in text or b"\xcd" in text:
+        return [p if b"\xcc" in p or b"\xcd" in p else p.lower() for p in text.split()]
+    return text.lower().split()
 
 
 def frequencies(docs: DataFrame) -> DataFrame:
