@@ -15,6 +15,10 @@ Filters, before a pair is verified on its full sets:
 * position: with the first shared prefix word at places i of the template and j of
   the block (both in corpus order), at most 1 + min(t - i - 1, b - j - 1) can be shared.
 
+A block names a licence only when, besides the share, it holds the words that tell the
+template from notices of other licences (``TELLING``): CC BY, the MPL or the LGPL share
+all but a word, or all words, of the short notices of others.
+
 Frequencies are counted over all texts. Nothing is shuffled but one row per template
 word and map task.
 
@@ -46,6 +50,15 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
 }
+#: What a block's words, with single spaces between and around them, must match to name a template's licence.
+TELLING = {
+    "mit-statement": r"(?s) mit ",
+    "apache-2.0": r"(?s)^(?=.* apache )(?=.* v?2 )",
+    "gpl-3.0": r"(?s)^(?=.* gnu general public licen[sc]e )(?=.* (?:gpl)?v?3 )",
+    "gpl-notice": r"(?s) gnu general public licen[sc]e ",
+    "mpl-2.0": r"(?s)^(?=.* mozilla public )(?=.* v?2 )",
+    "cc-by-nc-4.0": r"(?s)^(?=.* by nc (?!sa |nd ))(?=.* v?4 )",
+}
 THRESHOLD = 0.8
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -97,9 +110,24 @@ def containment(blocks: Column, ordered: list[str], threshold: float) -> Column:
     return F.coalesce(F.array_max(F.filter(shared, lambda n: n >= need)) / F.lit(float(t)), F.lit(0.0))
 
 
+def naming(words: Column, blocks: Column, step: int, ordered: list[str], threshold: float, telling: str | None) -> Column:
+    """array<struct<start, share>>: first word and share of the blocks that hold enough of a template and its telling words."""
+    t, need, whole = len(ordered), math.ceil(threshold * len(ordered) - 1e-9), strings(ordered)
+
+    def block(b: Column, i: Column) -> Column:
+        return F.struct((i * step).cast("int").alias("start"), (F.size(F.array_intersect(b, whole)) / F.lit(float(t))).alias("share"))
+
+    enough = F.filter(F.transform(blocks, block), lambda x: x["share"] >= need / t - 1e-9)
+    if telling is None:
+        return enough
+    spaced = lambda start: F.concat(F.lit(" "), F.array_join(F.slice(words, start + 1, F.lit(2 * step)), " "), F.lit(" "))
+    return F.filter(enough, lambda x: spaced(x["start"]).rlike(telling))
+
+
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_words, ``base`` (label -> places), ``containment`` (label -> share)."""
+    """One row per input row: doc_id, n_words, ``base`` (label -> places), ``containment`` (label -> largest share
+    of any block), ``blocks`` (label -> start and share of the blocks that name the licence)."""
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(f"`{text_col}`").alias("_text"))
     sets = {k: sorted(set(template_words(v))) for k, v in (TEMPLATES if templates is None else templates).items()}
     order = corpus_order(docs, sorted({w for s in sets.values() for w in s}))
@@ -116,9 +144,14 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, thres
     none = F.array().cast("array<int>")
     base = {k: F.when(F.col("_phrase"), places(words, p)).otherwise(none) for k, p in PHRASES.items()}
     share = {k: F.when(F.col("_prefix"), containment(F.col("_blocks"), s, threshold)).otherwise(F.lit(0.0)) for k, s in ordered.items()}
+    rows = rows.withColumn("_share", F.struct(*[c.alias(k) for k, c in share.items()]) if share else F.struct(F.lit(0.0).alias("none")))
+    no_block = F.array().cast("array<struct<start:int,share:double>>")
+    named = {k: F.when(F.col(f"_share.`{k}`") > 0, naming(words, F.col("_blocks"), step, s, threshold, TELLING.get(k) if templates is None else None))
+             .otherwise(no_block) for k, s in ordered.items()}
     return rows.select("doc_id", F.size(words).cast("long").alias("n_words"),
                        F.struct(*[c.alias(k) for k, c in base.items()]).alias("base"),
-                       (F.struct(*[c.alias(k) for k, c in share.items()]) if share else F.struct(F.lit(0.0).alias("none"))).alias("containment"))
+                       F.col("_share").alias("containment"),
+                       (F.struct(*[c.alias(k) for k, c in named.items()]) if named else F.struct(no_block.alias("none"))).alias("blocks"))
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,11 +159,13 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = F.concat(*[F.col(f"base.{k}") for k in PHRASES])
     some = lambda label, condition: F.when(condition, F.array(F.lit(label))).otherwise(F.array().cast("array<string>"))
     base = F.concat(*[some(k, F.size(f"base.{k}") > 0) for k in PHRASES])
-    own = F.concat(*[some(k, F.col(f"containment.`{k}`") > 0) for k in TEMPLATES])
-    best = F.greatest(*[F.col(f"containment.`{k}`") for k in TEMPLATES])
+    own = F.concat(*[some(k, F.size(f"blocks.`{k}`") > 0) for k in TEMPLATES])
+    best = F.greatest(*[F.coalesce(F.array_max(F.col(f"blocks.`{k}`.share")), F.lit(0.0)) for k in TEMPLATES])
+    places_of = lambda k: F.transform(f"blocks.`{k}`", lambda b: F.concat_ws(":", F.lit(k), b["start"].cast("string"), F.round(b["share"], 4).cast("string")))
     found = found.withColumns({"_starts": starts, "_base": base})
     return found.select("doc_id", "n_words", F.size("_starts").cast("long").alias("n_base"),
                         F.array_min("_starts").cast("long").alias("first_word"), F.array_max("_starts").cast("long").alias("last_word"),
                         F.array_join(F.array_sort("_base"), ",").alias("base_labels"),
                         F.array_join(F.array_sort(F.array_union("_base", own)), ",").alias("labels"),
-                        F.when(F.size("_starts") > 0, F.lit(1.0)).otherwise(best).alias("score"))
+                        F.when(F.size("_starts") > 0, F.lit(1.0)).otherwise(best).alias("score"),
+                        F.array_join(F.concat(*[places_of(k) for k in TEMPLATES]), ",").alias("blocks"))
