@@ -82,15 +82,20 @@ class Cutter:
         left = np.minimum.accumulate(rows, 1).ravel()
         right = np.minimum.accumulate(rows[:, ::-1], 1)[:, ::-1].ravel()
         low = np.minimum(right[:m], left[w - 1:w - 1 + m])
-        starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
+        change = low[1:] != low[:-1]
+        if w == 1:  # whole windows: consecutive ones are equal in runs of one character only
+            x = np.frombuffer(raw, np.uint8)
+            equal = np.r_[0, np.cumsum(x[1:] == x[:-1])]
+            change = equal[self.least:] - equal[:m - 1] < self.least
+        starts = np.flatnonzero(np.r_[True, change])
         windows = np.diff(np.r_[starts, m])
         key = low[starts]
         twice = np.fromiter((np.count_nonzero(h[s:s + c + w - 1] == x) > 1 for s, c, x in zip(starts.tolist(), windows.tolist(), key)), bool, len(starts))
         return key.view(np.int64), starts, windows, twice
 
 
-def segments(pieces: DataFrame, least: int, string: int) -> DataFrame:
-    """Segments of (id, th, text, weight): key, d1, d2 (digest of the bytes), n (windows), id, th, start, twice, weight."""
+def segments(pieces: DataFrame, least: int, string: int, first: bool = False) -> DataFrame:
+    """Segments of (id, th, text, weight): key, d1, d2 (digest of the bytes, or of the ``first`` window's), n (windows), id, th, start, twice, weight."""
     make, name = (lambda: Cutter(least, string)), ["key", "d1", "d2", "n", "id", "th", "start", "twice", "weight"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +106,7 @@ def segments(pieces: DataFrame, least: int, string: int) -> DataFrame:
                 key, start, windows, twice = cutter.cut(raw)
                 if not len(key):
                     continue
-                digest = np.frombuffer(b"".join(hashlib.blake2b(raw[s:s + c + least - 1], digest_size=16).digest() for s, c in zip(start.tolist(), windows.tolist())), "<i8").reshape(-1, 2)
+                digest = np.frombuffer(b"".join(hashlib.blake2b(raw[s:s + c + least - 1], digest_size=16).digest() for s, c in zip(start.tolist(), [1] * len(start) if first else windows.tolist())), "<i8").reshape(-1, 2)
                 for column, values in zip(out, (key, digest[:, 0], digest[:, 1], windows, np.full(len(key), id_), np.full(len(key), th), start, twice, np.full(len(key), weight))):
                     column.append(values)
             if out[0]:
@@ -222,9 +227,17 @@ def class_texts(pieces: DataFrame, classes: DataFrame, least: int) -> DataFrame:
 
 def repeats(pieces: DataFrame, least: int = LEAST, strings: tuple = STRINGS, text_bytes: int = TEXT_BYTES, heavy: int = HEAVY_BYTES) -> DataFrame:
     """Runs of repeated windows (id, th, start, n) of the pieces (id, th, text, weight)."""
-    cut = written(segments(pieces, least, min(strings[0] or least, least)), "segments")
+    last = len(strings) == 1
+    string = min(strings[0] or least, least)
+    windows = last and string == least
+    cut = written(segments(pieces, least, string, windows), "segments")
     keys = cut.groupBy("key").agg(F.sum("weight").alias("w"), F.max("twice").alias("t")).where("w > 1 or t").select("key")
     met = written(cut.join(keys, "key", "left_semi"), "met")
+    if windows:
+        # All windows of a segment are equal, so counting digests decides each; no text is expanded, however long a run is.
+        same = ["key", "d1", "d2"]
+        often = met.groupBy(*same).agg(F.sum(F.col("weight") * F.col("n")).alias("w")).where("w > 1").select(*same)
+        return written(met.join(often, same, "left_semi").select("id", "th", "start", "n"), "repeats")
     same = ["key", "d1", "d2", "n"]
     classes = met.groupBy(*same).agg(F.sum("weight").alias("members"), F.min(F.struct("id", "th", "start")).alias("first"), F.max("twice").alias("twice"))
     classes = written(classes.select(*same, "members", "first.*", "twice", F.monotonically_increasing_id().alias("cid")), "segment-classes")
@@ -237,7 +250,6 @@ def repeats(pieces: DataFrame, least: int = LEAST, strings: tuple = STRINGS, tex
     total = needed.where(F.col("bytes") <= heavy).agg(F.sum(F.col("n") + least - 1)).first()[0] or 0
     texts = written(class_texts(pieces, needed.select("cid", "key", "id", "th", "start", "n"), least)
                     .join(needed.select("cid", "bytes", "members"), "cid"), "class-texts")
-    last = len(strings) == 1
     buckets = F.pmod(F.xxhash64("key"), F.lit(int(total // text_bytes) + 1))
     found = expanded((texts if last else texts.where(F.col("bytes") <= heavy)).select(buckets.alias("bucket"), "cid", "text"), least)
     if not last:
