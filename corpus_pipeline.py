@@ -49,7 +49,8 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality_filter), ("exact_dedup", exact_copies), ("near_dedup", near_copies),
           ("mix", source_mix), ("encode", encoding)]
 
-#: The classifier and the shingle links cannot be said in SQL; the tests hold them against brute force.
+#: The classifier and the shingle links cannot be said in SQL; the tests hold copies,
+#: links and ids against plain Python, but the classifier's and the mix's stages only against their operators and bounds.
 ORACLE_SQL = None
 
 
