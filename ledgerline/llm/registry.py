@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 
-from ledgerline.llm import byte_bpe, exact_dedup, lattice, licenses, minhash, mixing, pii, quality, substrings, token_counts
+from ledgerline.llm import (byte_bpe, exact_dedup, lattice, licenses, minhash, mixing, pii, piece_bpe, quality,
+                            substrings, token_counts)
 
 LLM_QUERIES = {
     "op1_lattice": lattice.op1_lattice,
@@ -13,6 +14,7 @@ LLM_QUERIES = {
     "op8_source_mix": mixing.op8_source_mix,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     "op10_minhash": minhash.op10_minhash,
+    "op11_piece_bpe": piece_bpe.op11_piece_bpe,
 }
 
 LLM_ORACLE = {
