@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 
-from ledgerline.llm import (byte_bpe, exact_dedup, lattice, licenses, minhash, mixing, pii, piece_bpe, quality,
-                            substrings, token_counts)
+from ledgerline.llm import (byte_bpe, exact_dedup, lattice, lexical, licenses, minhash, mixing, pii, piece_bpe,
+                            quality, substrings, token_counts)
 
 LLM_QUERIES = {
     "op1_lattice": lattice.op1_lattice,
@@ -15,9 +15,11 @@ LLM_QUERIES = {
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     "op10_minhash": minhash.op10_minhash,
     "op11_piece_bpe": piece_bpe.op11_piece_bpe,
+    "op12_best_position": lexical.op12_best_position,
 }
 
 LLM_ORACLE = {
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op8_source_mix": mixing.OP8_SQL,
+    "op12_best_position": lexical.OP12_SQL,
 }
