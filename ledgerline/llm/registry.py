@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 
 from ledgerline.llm import (byte_bpe, exact_dedup, lattice, lexical, licenses, minhash, mixing, pii, piece_bpe,
-                            quality, substrings, token_counts)
+                            quality, substrings, token_counts, tries)
 
 LLM_QUERIES = {
     "op1_lattice": lattice.op1_lattice,
@@ -16,10 +16,12 @@ LLM_QUERIES = {
     "op10_minhash": minhash.op10_minhash,
     "op11_piece_bpe": piece_bpe.op11_piece_bpe,
     "op12_best_position": lexical.op12_best_position,
+    "op13_prefix_trie": tries.op13_prefix_trie,
 }
 
 LLM_ORACLE = {
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op8_source_mix": mixing.OP8_SQL,
     "op12_best_position": lexical.OP12_SQL,
+    "op13_prefix_trie": tries.OP13_SQL,
 }
