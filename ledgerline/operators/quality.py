@@ -8,19 +8,24 @@ Every check returns a small report DataFrame with one row per checked column
 ``failing`` counts offending rows (for a row-count check, the shortfall) and
 ``failing_pct`` is its share of ``total`` in percent;
 ``failing`` is NULL when the checked column does not exist, which fails the
-check. Each check is one aggregation pass over its table (duplicate and
-foreign-key checks add one shuffle on the key, with map-side pre-aggregation),
-so it scales with the data; only the few report rows ever reach the driver, in
-``enforce`` / the ``validate_*`` wrappers.
+check.
+
+Checks that look at one row at a time are data (``Check``): all of a table's checks compile to
+one aggregate, so a table is scanned once however many checks it has, and the same aggregate can
+be an observation of the job that writes the table (``check_metrics``, ``observed_report``), which
+costs no scan at all. Key checks (duplicates, orphans) of any number of tables share one shuffle
+(``key_report``). Only the few report rows ever reach the driver, in ``enforce`` / the
+``validate_*`` wrappers.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,6 +75,97 @@ def union_reports(reports: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+# ---------------------------------------------------------------------------
+# Row checks as data
+# ---------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Check:
+    """One check of one table. ``bad`` tells the offending rows of ``column``; a check with a
+    ``floor`` compares the row count instead."""
+
+    table: str
+    name: str
+    column: str | None
+    bad: Column | None = None
+    severity: str = WARN
+    floor: int | None = None
+
+
+def null_checks(columns: Iterable[str], table: str, severity: str = WARN) -> list[Check]:
+    return [Check(table, "no_nulls", c, F.col(c).isNull(), severity) for c in columns]
+
+
+def floor_check(min_rows: int, table: str, severity: str = ERROR) -> Check:
+    return Check(table, "row_count", None, severity=severity, floor=min_rows)
+
+
+def range_check(column: str, min_value: float | None, max_value: float | None, table: str,
+                severity: str = WARN) -> Check:
+    c, outside = F.col(column), F.lit(False)
+    if min_value is not None:
+        outside = outside | (c < F.lit(min_value))
+    if max_value is not None:
+        outside = outside | (c > F.lit(max_value))
+    return Check(table, "value_range", column, outside, severity)
+
+
+def domain_checks(table: str, severity: str = WARN) -> list[Check]:
+    """UNSIGNED columns are >= 0 and text fits its declared length; a column of another type is measured as text."""
+    unsigned = [Check(table, "unsigned", c, F.col(c) < 0, severity) for c in schemas.unsigned_columns(table)]
+    return unsigned + [Check(table, f"max_length_{limit}", c, F.length(F.col(c).cast("string")) > limit, severity)
+                       for c, limit in schemas.length_limits(table).items()]
+
+
+def catalogue_checks(table: str) -> list[Check]:
+    """Every row check that the declared schema of a table asks for."""
+    return null_checks(schemas.not_null_columns(table), table) + domain_checks(table)
+
+
+def check_metrics(checks: Sequence[Check], columns: Sequence[str]) -> list[Column]:
+    """The checks of one table as aggregates: the row count and the offending rows of each check."""
+    return [F.count(F.lit(1)).alias("_total"),
+            *[F.count_if(c.bad).alias(f"_f{i}") for i, c in enumerate(checks) if c.floor is None and c.column in columns]]
+
+
+def _check_rows(checks: Sequence[Check], present: set[str]) -> list[Column]:
+    total, rows = F.col("_total"), []
+    for i, c in enumerate(checks):
+        if c.floor is not None:
+            failing = F.greatest(F.lit(c.floor) - total, F.lit(0))
+        else:
+            failing = F.col(f"_f{i}") if f"_f{i}" in present else F.lit(None)
+        rows.append(_row(c.table, c.name, c.column, failing, total, c.severity))
+    return rows
+
+
+def table_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All checks of one table in one scan."""
+    agg = df.agg(*check_metrics(checks, df.columns))
+    return _report(agg, _check_rows(checks, set(agg.columns)))
+
+
+def checks_by_table(checks: Iterable[Check]) -> dict[str, list[Check]]:
+    out: dict[str, list[Check]] = {}
+    for c in checks:
+        out.setdefault(c.table, []).append(c)
+    return out
+
+
+def scan_report(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
+    """All checks, one scan for each table that has any."""
+    return union_reports([table_report(tables[t], some) for t, some in checks_by_table(checks).items()])
+
+
+def observed_report(spark: SparkSession, checks: Sequence[Check], observed: Mapping[str, int]) -> DataFrame:
+    """The same report from the metrics that a finished write observed; nothing is read."""
+    fields = [f"_f{i}" for i in range(len(checks)) if f"_f{i}" in observed]
+    schema = ", ".join(f"{n} long" for n in ["_total", *fields])
+    row = spark.createDataFrame([tuple(observed[n] for n in ["_total", *fields])], schema)
+    return _report(row, _check_rows(checks, set(fields)))
+
+
 # ---------------------------------------------------------------------------
 # Q1-Q4: generic checks
 # ---------------------------------------------------------------------------
@@ -77,22 +173,12 @@ def union_reports(reports: list[DataFrame]) -> DataFrame:
 
 def no_nulls(df: DataFrame, columns: list[str], table: str, severity: str = WARN) -> DataFrame:
     """Q1: listed columns hold no NULL; a missing column fails."""
-    present = [c for c in columns if c in df.columns]
-    agg = df.agg(F.count(F.lit(1)).alias("_total"),
-                 *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(present)])
-    rows = []
-    for c in columns:
-        failing = F.col(f"_n{present.index(c)}") if c in present else F.lit(None)
-        rows.append(_row(table, "no_nulls", c, failing, F.col("_total"), severity))
-    return _report(agg, rows)
+    return table_report(df, null_checks(columns, table, severity))
 
 
 def row_count(df: DataFrame, min_rows: int, table: str, severity: str = ERROR) -> DataFrame:
     """Q2: at least ``min_rows`` rows (inclusive)."""
-    agg = df.agg(F.count(F.lit(1)).alias("_total"))
-    total = F.col("_total")
-    return _report(agg, [_row(table, "row_count", None,
-                              F.greatest(F.lit(min_rows) - total, F.lit(0)), total, severity)])
+    return table_report(df, [floor_check(min_rows, table, severity)])
 
 
 def no_duplicates(df: DataFrame, key_columns: list[str], table: str,
@@ -117,19 +203,7 @@ def no_duplicates(df: DataFrame, key_columns: list[str], table: str,
 def value_range(df: DataFrame, column: str, min_value: float | None, max_value: float | None,
                 table: str, severity: str = WARN) -> DataFrame:
     """Q4: non-null values inside the inclusive [min, max]; either bound optional."""
-    if column not in df.columns:
-        agg = df.agg(F.count(F.lit(1)).alias("_total"))
-        return _report(agg, [_row(table, "value_range", column, F.lit(None),
-                                  F.col("_total"), severity)])
-    c = F.col(column)
-    outside = F.lit(False)
-    if min_value is not None:
-        outside = outside | (c < F.lit(min_value))
-    if max_value is not None:
-        outside = outside | (c > F.lit(max_value))
-    agg = df.agg(F.count_if(outside).alias("_bad"), F.count(F.lit(1)).alias("_total"))
-    return _report(agg, [_row(table, "value_range", column, F.col("_bad"),
-                              F.col("_total"), severity)])
+    return table_report(df, [range_check(column, min_value, max_value, table, severity)])
 
 
 # ---------------------------------------------------------------------------
@@ -182,50 +256,116 @@ def validate_value_range(df: DataFrame, column: str, min_value: float | None,
 # ---------------------------------------------------------------------------
 
 
+def bronze_checks(min_rows: int = 1000) -> list[Check]:
+    return [floor_check(min_rows, "bronze_orders"), floor_check(min_rows, "bronze_order_items")]
+
+
+def silver_checks() -> list[Check]:
+    return [*null_checks(["order_id", "customer_id", "order_purchase_timestamp"], "silver_orders"),
+            *null_checks(["order_id", "product_id", "seller_id", "price"], "silver_order_items"),
+            range_check("price", 0, None, "silver_order_items"),
+            range_check("freight_value", 0, None, "silver_order_items")]
+
+
+def gold_checks(min_rows: int = 1000) -> list[Check]:
+    return [floor_check(min_rows, "gold_fct_orders"),
+            range_check("order_total_value", 0, None, "gold_fct_orders"),
+            range_check("otd_rate", 0, 1, "gold_agg_sales_monthly")]
+
+
+#: The uniqueness checks of the Bronze and Gold suites.
+BRONZE_KEYS = {"bronze_orders": ["order_id"], "bronze_customers": ["customer_id"]}
+GOLD_KEYS = {"gold_fct_orders": ["order_id"]}
+
+
 def suite_bronze(tables: Mapping[str, DataFrame], min_rows: int = 1000) -> DataFrame:
-    return union_reports([
-        row_count(tables["bronze_orders"], min_rows, "bronze_orders"),
-        row_count(tables["bronze_order_items"], min_rows, "bronze_order_items"),
-        no_duplicates(tables["bronze_orders"], ["order_id"], "bronze_orders"),
-        no_duplicates(tables["bronze_customers"], ["customer_id"], "bronze_customers"),
-    ])
+    return union_reports([scan_report(tables, bronze_checks(min_rows)), key_report(tables, BRONZE_KEYS)])
 
 
 def suite_silver(tables: Mapping[str, DataFrame]) -> DataFrame:
-    items = tables["silver_order_items"]
-    return union_reports([
-        no_nulls(tables["silver_orders"],
-                 ["order_id", "customer_id", "order_purchase_timestamp"], "silver_orders"),
-        no_nulls(items, ["order_id", "product_id", "seller_id", "price"], "silver_order_items"),
-        value_range(items, "price", 0, None, "silver_order_items"),
-        value_range(items, "freight_value", 0, None, "silver_order_items"),
-    ])
+    """One scan of orders and one of items."""
+    return scan_report(tables, silver_checks())
 
 
 def suite_gold(tables: Mapping[str, DataFrame], min_rows: int = 1000,
                order_duplicates: DataFrame | None = None) -> DataFrame:
     """``order_duplicates`` may carry an already computed duplicate report of
     the order fact, so the suite does not shuffle the keys a second time."""
-    orders = tables["gold_fct_orders"]
     if order_duplicates is None:
-        order_duplicates = no_duplicates(orders, ["order_id"], "gold_fct_orders")
-    return union_reports([
-        row_count(orders, min_rows, "gold_fct_orders"),
-        order_duplicates,
-        value_range(orders, "order_total_value", 0, None, "gold_fct_orders"),
-        value_range(tables["gold_agg_sales_monthly"], "otd_rate", 0, 1, "gold_agg_sales_monthly"),
-    ])
+        order_duplicates = no_duplicates(tables["gold_fct_orders"], ["order_id"], "gold_fct_orders")
+    return union_reports([scan_report(tables, gold_checks(min_rows)), order_duplicates])
 
 
 # ---------------------------------------------------------------------------
-# Q6-Q9: constraint checks driven by the catalogue
+# Q6, Q7, E5: keys of all tables in one shuffle
 # ---------------------------------------------------------------------------
 
 
+def key_report(tables: Mapping[str, DataFrame], unique: Mapping[str, Sequence[str]],
+               references: Sequence[tuple[str, str, str, str]] = (), severity: str = WARN) -> DataFrame:
+    """Duplicates of ``unique`` keys (table -> columns) and orphans of ``references``
+    (child, column, parent, parent column), all from one shuffle.
+
+    A *domain* is a key that is declared or referred to: a parent's column, or a table's key columns.
+    Each table is scanned once and gives, per row, a tagged key for each role it plays: slot 0 of a
+    domain holds the rows of its owner, the other slots those of its children. The tagged keys are
+    counted per (domain, key) with map-side combining, so a hot value costs one row per task, and
+    from the counts of a key all its checks follow: rows beyond the first are duplicates, child rows
+    where the owner has none are orphans. NULL keys are equal to each other as declared keys and
+    refer to nothing as children. A second, tiny aggregate adds the keys up.
+    """
+    domains: dict[tuple[str, tuple[str, ...]], int] = {}
+    roles: dict[str, list[tuple[int, int, tuple[str, ...]]]] = {}
+    slots: dict[int, int] = {}
+    report: list[tuple[int, int, str, str, str]] = []  # domain, slot, table, check, column
+
+    def owner(table: str, columns: tuple[str, ...]) -> int:
+        if (table, columns) not in domains:
+            domains[table, columns] = d = len(domains)
+            slots[d] = 1
+            roles.setdefault(table, []).append((d, 0, columns))
+        return domains[table, columns]
+
+    for table, columns in unique.items():
+        report.append((owner(table, tuple(columns)), 0, table, "no_duplicates", ",".join(columns)))
+    for child, column, parent, parent_column in references:
+        d = owner(parent, (parent_column,))
+        report.append((d, slots[d], child, f"foreign_key->{parent}.{parent_column}", column))
+        roles.setdefault(child, []).append((d, slots[d], (column,)))
+        slots[d] += 1
+    width = max(slots.values())
+
+    def tagged(table: str) -> DataFrame:
+        tags = []
+        for d, slot, columns in roles[table]:
+            texts = [F.col(c).cast("string") for c in columns]
+            # One column is its own text; several are told apart by their lengths.
+            key = texts[0] if len(texts) == 1 else F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~")) for t in texts])
+            tag = F.struct(F.lit(d).alias("domain"), F.lit(slot).alias("slot"), key.alias("key"))
+            tags.append(tag if slot == 0 else F.when(F.col(columns[0]).isNotNull(), tag))
+        return tables[table].select(F.explode(F.array_compact(F.array(*tags))).alias("t")).select("t.*")
+
+    keys = reduce(DataFrame.unionByName, [tagged(t) for t in roles])
+    counts = keys.groupBy("domain", "key").agg(*[F.count_if(F.col("slot") == i).alias(f"n{i}") for i in range(width)])
+    sums = [F.sum(F.when(F.col("n0") > 0, F.col("n0") - 1).otherwise(0)).alias("bad0"), F.sum("n0").alias("total0")]
+    for i in range(1, width):
+        sums += [F.sum(F.when(F.col("n0") == 0, F.col(f"n{i}")).otherwise(0)).alias(f"bad{i}"), F.sum(f"n{i}").alias(f"total{i}")]
+    per_domain = counts.groupBy("domain").agg(*sums)
+    # A row per report line; a domain without any key (empty tables) has no counts.
+    spark = per_domain.sparkSession
+    lines = spark.createDataFrame([(n, *line) for n, line in enumerate(report)],
+                                  "line int, domain int, slot int, table_name string, check_name string, column_name string")
+    pick = lambda what: reduce(lambda rest, i: F.when(F.col("slot") == i, F.col(f"{what}{i}")).otherwise(rest), range(width), F.lit(None))
+    failing, total = (F.coalesce(pick(w), F.lit(0)).cast("long") for w in ("bad", "total"))
+    return lines.join(per_domain, "domain", "left").select(
+        "table_name", "check_name", "column_name", failing.alias("failing"), total.alias("total"),
+        F.when(total > 0, failing.cast("double") * 100.0 / total).alias("failing_pct"), (failing == 0).alias("passed"),
+        F.lit(severity).alias("severity"))
+
+
 def primary_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Q6: uniqueness of every declared primary key among the given tables."""
-    return union_reports([no_duplicates(df, schemas.PRIMARY_KEYS[name], name)
-                          for name, df in tables.items() if name in schemas.PRIMARY_KEYS])
+    """Q6: uniqueness of every declared primary key among the given tables, in one shuffle."""
+    return key_report(tables, {name: schemas.PRIMARY_KEYS[name] for name in tables if name in schemas.PRIMARY_KEYS})
 
 
 def foreign_key(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
@@ -250,50 +390,59 @@ def foreign_key(child: DataFrame, child_col: str, parent: DataFrame, parent_col:
                               child_col, F.col("_orphans"), F.col("_total"), severity)])
 
 
+def declared_references(tables: Mapping[str, DataFrame]) -> list[tuple[str, str, str, str]]:
+    return [fk for fk in schemas.FOREIGN_KEYS if fk[0] in tables and fk[2] in tables]
+
+
 def foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Q7 over every declared constraint whose two tables are given."""
-    reports = [foreign_key(tables[c], cc, tables[p], pc, c, p)
-               for c, cc, p, pc in schemas.FOREIGN_KEYS if c in tables and p in tables]
-    return union_reports(reports)
+    """Q7 over every declared constraint whose two tables are given, in one shuffle."""
+    return key_report(tables, {}, declared_references(tables))
+
+
+def source_references(sources: Mapping[str, DataFrame]) -> list[tuple[str, str, str, str]]:
+    return [(child, ccol, parent, pcol) for child, edges in schemas.RELATIONSHIPS.items()
+            for ccol, (parent, pcol) in edges.items() if child in sources and parent in sources]
 
 
 def relationships(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """E5/Q7: the business relationships between the raw source tables."""
-    reports = [foreign_key(sources[child], ccol, sources[parent], pcol, child, parent)
-               for child, edges in schemas.RELATIONSHIPS.items()
-               for ccol, (parent, pcol) in edges.items()
-               if child in sources and parent in sources]
-    return union_reports(reports)
+    """E5/Q7: the business relationships between the raw source tables, in one shuffle."""
+    return key_report(sources, {}, source_references(sources))
+
+
+def all_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Q6, Q7 and E5 over the 24 tables: every declared key, constraint and source relationship,
+    with one scan of each table and one shuffle of its keys."""
+    unique = {name: schemas.PRIMARY_KEYS[name] for name in tables if name in schemas.PRIMARY_KEYS}
+    sources = [(f"bronze_{c}", cc, f"bronze_{p}", pc) for c, cc, p, pc in
+               source_references({s: None for s in schemas.SOURCE_NAMES if f"bronze_{s}" in tables})]
+    return key_report(tables, unique, declared_references(tables) + sources)
 
 
 def not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Q8: NOT NULL columns of the declared schema."""
-    return union_reports([no_nulls(df, schemas.not_null_columns(name), name)
-                          for name, df in tables.items() if schemas.not_null_columns(name)])
+    return scan_report(tables, [c for name in tables for c in null_checks(schemas.not_null_columns(name), name)])
 
 
 def domain(df: DataFrame, table: str, severity: str = WARN) -> DataFrame:
     """Q9: UNSIGNED columns are >= 0 and text fits its declared length.
 
-    Every declared check is reported: a column of another type is measured as
-    text, and a missing column fails.
+    Every declared check is reported; a missing column fails.
     """
-    checks: list[tuple[str, str, Column]] = [
-        ("unsigned", c, F.col(c) < 0) for c in schemas.unsigned_columns(table)]
-    checks += [(f"max_length_{limit}", c, F.length(F.col(c).cast("string")) > limit)
-               for c, limit in schemas.length_limits(table).items()]
-    agg = df.agg(F.count(F.lit(1)).alias("_total"),
-                 *[F.count_if(cond).alias(f"_d{i}") for i, (_, c, cond) in enumerate(checks)
-                   if c in df.columns])
-    rows = [_row(table, name, c, F.col(f"_d{i}") if c in df.columns else F.lit(None),
-                 F.col("_total"), severity)
-            for i, (name, c, _) in enumerate(checks)]
-    return _report(agg, rows)
+    return table_report(df, domain_checks(table, severity))
 
 
 def domains(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return union_reports([domain(df, name) for name, df in tables.items()
-                          if schemas.unsigned_columns(name) or schemas.length_limits(name)])
+    return scan_report(tables, [c for name in tables for c in domain_checks(name)])
+
+
+def suite_checks(min_rows: int = 1000) -> list[Check]:
+    """The row checks of the three layer suites."""
+    return bronze_checks(min_rows) + silver_checks() + gold_checks(min_rows)
+
+
+def one_pass(tables: Mapping[str, DataFrame], min_rows: int = 1000) -> DataFrame:
+    """Q1, Q2, Q4, Q5, Q8 and Q9: every row check of every table, with one scan of each table."""
+    return scan_report(tables, [c for name in tables for c in catalogue_checks(name)] + [c for c in suite_checks(min_rows) if c.table in tables])
 
 
 # ---------------------------------------------------------------------------

@@ -18,6 +18,7 @@ from ledgerline.operators import gold as G
 from ledgerline.operators import notebook as N
 from ledgerline.operators import quality as Q
 from ledgerline.operators import silver as S
+from ledgerline.operators.fingerprint import fingerprints
 from ledgerline.operators.modes import mode_per_group
 from ledgerline.plans.build import build_all
 from ledgerline.session import apply_sql_defaults, scratch_path
@@ -98,7 +99,13 @@ def orders_with_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("bronze_replicate")
 def q_bronze_replicate(spark, sf_dir):
-    """V1: the Bronze orders replica (timestamps derived per order)."""
+    """V1: content fingerprint of each of the nine Bronze replicas."""
+    return fingerprints(S.build_bronze(staging.load_sources(spark, sf_dir)))
+
+
+@register("bronze_orders")
+def q_bronze_orders(spark, sf_dir):
+    """V1: the rows of the Bronze orders replica (timestamps derived per order)."""
     return S.build_bronze(staging.load_sources(spark, sf_dir))["bronze_orders"]
 
 
@@ -129,9 +136,23 @@ def q_round_money(spark, sf_dir):
     return S.silver_order_items(staged(spark, sf_dir, "order_items"))
 
 
+@register("round_money_payments")
+def q_round_money_payments(spark, sf_dir):
+    """V5: money rounded to 2 places on payments."""
+    return S.silver_order_payments(staged(spark, sf_dir, "order_payments"))
+
+
 @register("silver_passthrough")
 def q_silver_passthrough(spark, sf_dir):
-    """Pass-through Silver table, without the prefix."""
+    """Content fingerprint of each of the six pass-through Silver tables, without the prefix."""
+    silver = S.build_silver(staging.load_sources(spark, sf_dir), strip_prefix=True)
+    names = ("product_categories", "customers", "sellers", "products", "orders", "order_reviews")
+    return fingerprints({n: silver[n] for n in names})
+
+
+@register("silver_order_reviews")
+def q_silver_order_reviews(spark, sf_dir):
+    """The rows of one pass-through Silver table, without the prefix."""
     return S.build_silver(staging.load_sources(spark, sf_dir), strip_prefix=True)["order_reviews"]
 
 
@@ -355,25 +376,34 @@ def q_dq_domain(spark, sf_dir):
     return Q.domains(all_layers(spark, sf_dir))
 
 
-@register("table_profile")
-def q_table_profile(spark, sf_dir):
-    """Q10: rows, columns and non-null counts of the order fact."""
-    return Q.table_profile(G.gold_fct_orders(silver_tables(spark, sf_dir)), "gold_fct_orders")
+@register("dq_one_pass")
+def q_dq_one_pass(spark, sf_dir):
+    """Q1, Q2, Q4, Q5, Q8, Q9: every row check of all 24 tables, one scan of each table."""
+    return Q.one_pass(all_layers(spark, sf_dir))
 
 
-def _row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+@register("dq_all_keys")
+def q_dq_all_keys(spark, sf_dir):
+    """Q3, Q6, Q7, E5: all declared keys, constraints and source relationships from one shuffle."""
+    return Q.all_keys(all_layers(spark, sf_dir))
 
 
-    parts = [tables[t].agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(t).alias("table_name"), F.lit(schemas.layer_of(t)).alias("layer"),
-                     "row_count") for t in schemas.LOAD_ORDER]
-    return reduce(DataFrame.unionByName, parts)
+@register("table_profile")
+def q_table_profile(spark, sf_dir):
+    """Q10: rows, columns and non-null counts of every column of all 24 tables."""
+    return reduce(DataFrame.unionByName, [Q.table_profile(df, name) for name, df in all_layers(spark, sf_dir).items()])
+
+
+def _fingerprints_by_layer(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Fingerprints of the 24 tables in their sink types."""
+    return fingerprints({t: conform_types(tables[t], t) for t in schemas.LOAD_ORDER},
+                        {t: {"layer": schemas.layer_of(t)} for t in schemas.LOAD_ORDER})
 
 
 @register("layer_row_counts")
 def q_layer_row_counts(spark, sf_dir):
-    """The validated full build (24 tables); row count per table."""
-    return _row_counts(build_all(staging.load_sources(spark, sf_dir), validate=True))
+    """The validated full build (24 tables); row count and content fingerprint per table."""
+    return _fingerprints_by_layer(build_all(staging.load_sources(spark, sf_dir), validate=True))
 
 
 # --- sources ------------------------------------------------------------------------
@@ -442,18 +472,12 @@ def q_scan_newest_file(spark, sf_dir):
 
 @register("load_dataset")
 def q_load_dataset(spark, sf_dir):
-    """Nine landed files checked for existence together, then read;
-    row count per table."""
-
-
+    """Nine landed CSV files checked for existence together, then read; fingerprint per table."""
     base = scratch_path(spark, "load_dataset")
-    files = {name: f"{name}.parquet" for name in staging.load_sources(spark, sf_dir)}
+    files = {name: f"{name}.csv" for name in schemas.SOURCE_NAMES}
     for name, df in staging.load_sources(spark, sf_dir).items():
-        df.write.parquet(f"{base}/{files[name]}")
-    tables = readers.load_dataset(spark, base, files)
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(name).alias("table_name"), "row_count") for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+        landing.write_csv(df, f"{base}/{files[name]}")
+    return fingerprints(readers.load_dataset(spark, base, files))
 
 
 @register("scan_csv_latin1")
@@ -512,17 +536,17 @@ def q_conform_types(spark, sf_dir):
 
 @register("create_layer_tables")
 def q_create_layer_tables(spark, sf_dir):
-    """K6: layer databases and tables created (twice: idempotent), the customer
-    dimension loaded by full refresh and read back from the catalog."""
-
+    """K6: layer databases and tables created (twice: idempotent), all 24 loaded in dependency order by
+    full refresh and read back from the catalog; fingerprint per table."""
     root = scratch_path(spark, "catalog")
     prefix = f"ledgerline_{uuid.uuid4().hex[:8]}"
     writers.create_layer_tables(spark, root, prefix)
     created = writers.create_layer_tables(spark, root, prefix)
-    target = created["gold_dim_customers"]
-    writers.insert_full_refresh(G.gold_dim_customers(silver_tables(spark, sf_dir)), target,
-                                "gold_dim_customers")
-    return spark.table(target)
+    tables = all_layers(spark, sf_dir)
+    for name in schemas.LOAD_ORDER:
+        writers.insert_full_refresh(tables[name], created[name], name)
+    return fingerprints({t: spark.table(created[t]) for t in schemas.LOAD_ORDER},
+                        {t: {"layer": schemas.layer_of(t)} for t in schemas.LOAD_ORDER})
 
 
 @register("register_views")
@@ -545,15 +569,25 @@ def q_register_views(spark, sf_dir):
 @register("sink_full_refresh")
 def q_sink_full_refresh(spark, sf_dir):
     """K1: all 24 tables written, validated and published as one run; row
-    counts read back from the published run."""
+    counts and content fingerprints read back from the published run."""
     root = scratch_path(spark, "published")
     writers.full_refresh(spark, staging.load_sources(spark, sf_dir), root)
-    return writers.published_row_counts(spark, root)
+    return writers.published_fingerprints(spark, root)
 
 
 @register("sink_layer_subset")
 def q_sink_layer_subset(spark, sf_dir):
-    """K2: Bronze and Silver published, Gold published empty."""
+    """K2: Bronze and Silver published, Gold published empty; fingerprints read back."""
     root = scratch_path(spark, "published_subset")
     writers.layer_subset_refresh(spark, staging.load_sources(spark, sf_dir), root)
-    return writers.published_row_counts(spark, root)
+    return writers.published_fingerprints(spark, root)
+
+
+@register("sink_resume")
+def q_sink_resume(spark, sf_dir):
+    """A run that stopped after Silver, taken up again: Gold alone is written, then published."""
+    root, run_id = scratch_path(spark, "resumed"), "resumed"
+    sources = staging.load_sources(spark, sf_dir)
+    writers.full_refresh(spark, sources, root, run_id=run_id, stop_after="silver")
+    writers.full_refresh(spark, sources, root, run_id=run_id)
+    return writers.published_fingerprints(spark, root)

@@ -316,6 +316,22 @@ GOLD_ORDER = ["gold_dim_customers", "gold_dim_products", "gold_dim_sellers",
               "gold_fct_orders", "gold_fct_order_items", "gold_agg_sales_monthly"]
 LOAD_ORDER = BRONZE_ORDER + SILVER_ORDER + GOLD_ORDER
 
+# Tables laid out by purchase month, so that reads of some months skip the others' files.
+PARTITIONED = {"gold_fct_orders": "purchase_year_month", "gold_fct_order_items": "purchase_year_month"}
+
+# The tables that a Silver or Gold table is made from.
+INPUTS = {
+    "silver_geolocations": ["bronze_geolocation"],
+    "silver_product_categories": ["bronze_translation"],
+    **{f"silver_{s}": [f"bronze_{s}"] for s in ("customers", "sellers", "products", "orders", "order_items",
+                                               "order_payments", "order_reviews")},
+    "gold_dim_customers": ["silver_customers", "silver_geolocations"],
+    "gold_dim_products": ["silver_products", "silver_product_categories"],
+    "gold_dim_sellers": ["silver_sellers", "silver_geolocations"],
+    **{t: ["silver_orders", "silver_order_items", "silver_order_payments", "silver_order_reviews"]
+       for t in ("gold_fct_orders", "gold_fct_order_items", "gold_agg_sales_monthly")},
+}
+
 
 def layer_of(table: str) -> str:
     return table.split("_", 1)[0]

@@ -2,25 +2,29 @@
 
 Full refresh is published atomically per run: every table of the run is
 written under ``<root>/runs/<run_id>/<layer>/<table>``, in dependency order,
-and only then is a publish record appended to ``_CURRENT`` naming the new
-run. Readers resolve the latest record, so they never see a half-written run
-(and, since records are only appended, never a missing pointer), and a failed run (or a lost executor that makes a job fail)
-leaves the previous run published. Tables that depend on a written table read
-it back instead of recomputing it, which also cuts the lineage.
+and only then is the run published (``sinks.runs``). Readers resolve the latest
+publish record, so they never see a half-written run, and a failed run (or a
+lost executor that makes a job fail) leaves the previous run published. Tables
+that depend on a written table read it back instead of recomputing it, which
+also cuts the lineage. A restarted run goes on where the last one stopped.
 """
 
 from __future__ import annotations
 
-import time
+import hashlib
+import json
 import uuid
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schemas
+from ledgerline.operators import fingerprint
+from ledgerline.sinks import runs
+from ledgerline.sinks.runs import TableRecord, current_run
 from ledgerline.tables import LazyTables
 
 # ---------------------------------------------------------------------------
@@ -85,71 +89,122 @@ def insert_full_refresh(df: DataFrame, qualified_table: str, table: str) -> None
 # K1 / K2: published layered runs
 # ---------------------------------------------------------------------------
 
-POINTER = "_CURRENT"
 # Sources whose Bronze copy is rounded by the sink types before Silver needs them.
 FULL_PRECISION_SOURCES = {"geolocation"}
 
 
-def _run_path(root: str, run_id: str, table: str) -> str:
-    return f"{root.rstrip('/')}/runs/{run_id}/{schemas.layer_of(table)}/{table}"
+def read_published(spark: SparkSession, root: str, table: str, run_id: str | None = None) -> DataFrame:
+    """A table of a run (the current one by default), with its declared columns in order."""
+    run_id = run_id or current_run(spark, root)
+    return spark.read.schema(schemas.TABLES[table]).parquet(runs.table_path(root, run_id, table)).select(*schemas.columns(table))
 
 
-def current_run(spark: SparkSession, root: str) -> str:
-    """The run named by the latest publish record."""
-    from ledgerline.sources.readers import path_exists
+def laid_out(df: DataFrame, table: str) -> DataFrame:
+    """Rows of a month-partitioned table gathered by month, so that a task does not write a file for
+    each month; Spark splits the months that are large. Other tables stay as they are."""
+    month = schemas.PARTITIONED.get(table)
+    return df.hint("rebalance", F.col(month)) if month else df
 
-    pointer = f"{root.rstrip('/')}/{POINTER}"
-    if not path_exists(spark, pointer):
-        raise FileNotFoundError(f"nothing published under {root}")
-    latest = (spark.read.schema(_POINTER_SCHEMA).json(pointer)
-              .orderBy(F.col("published_at").desc(), F.col("run_id").desc())
-              .first())
-    if latest is None:
-        raise FileNotFoundError(f"nothing published under {root}")
-    return latest["run_id"]
 
+def write_table(df: DataFrame, path: str, table: str, mode: str = "overwrite") -> None:
+    """Write a conformed frame in its table's layout.
 
-def read_published(spark: SparkSession, root: str, table: str, run_id: str | None = None) -> DataFrame:
-    run_id = run_id or current_run(spark, root)
-    return spark.read.parquet(_run_path(root, run_id, table))
+    ``mode="months"`` replaces only the months that ``df`` holds (dynamic partition overwrite)
+    and needs a month-partitioned table.
+    """
+    month = schemas.PARTITIONED.get(table)
+    if mode == "months" and not month:
+        raise ValueError(f"{table} is not partitioned by month")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if mode == "months" else "static")
+    (writer.partitionBy(month) if month else writer).parquet(path)
+
+
+def replace_months(df: DataFrame, path: str, table: str) -> None:
+    """Replace the months that ``df`` holds in a month-partitioned table; other months keep their files."""
+    write_table(laid_out(conform_types(df, table), table), path, table, mode="months")
+
+
+def read_months(spark: SparkSession, path: str, table: str, months: Sequence[str | None]) -> DataFrame:
+    """Rows of the given months (None: rows without one). Only those months' files are listed and read."""
+    month = F.col(schemas.PARTITIONED[table])
+    wanted = month.isin([m for m in months if m is not None])
+    if None in months:
+        wanted = wanted | month.isNull()
+    return spark.read.schema(schemas.TABLES[table]).parquet(path).where(wanted).select(*schemas.columns(table))
+
+
+def _observed_write(df: DataFrame, path: str, table: str, checks: Sequence) -> dict[str, int | str]:
+    """Write a table; its fingerprint and what its checks count are observed by the same job.
+
+    The observation sits above the layout's shuffle, in the job's last stage, where a task that is
+    run again counts once.
+    """
+    from ledgerline.operators.quality import check_metrics
 
+    seen = Observation()
+    plain = laid_out(conform_types(df, table), table)
+    write_table(plain.observe(seen, *fingerprint.metrics(plain.schema), *check_metrics(checks, plain.columns)), path, table)
+    return seen.get
 
-_POINTER_SCHEMA = "published_at long, run_id string"
 
+def _digest(*parts: str) -> str:
+    return hashlib.sha256(json.dumps(parts).encode()).hexdigest()
 
-def _publish(spark: SparkSession, root: str, run_id: str) -> None:
-    """Append a publish record; nothing is deleted or overwritten, so a reader
-    sees either the previous latest record or the new one, never none."""
-    record = spark.createDataFrame([(time.time_ns() // 1000, run_id)], _POINTER_SCHEMA)
-    record.coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/{POINTER}")
 
+def source_version(spark: SparkSession, df: DataFrame) -> str:
+    """What a source is made of: its files with their sizes and times, and how they are read.
 
-def _write(df: DataFrame, path: str, table: str) -> None:
-    conform_types(df, table).write.mode("overwrite").parquet(path)
+    A source without files has no version and is read again by every run. Listing costs
+    file-system metadata only."""
+    files = sorted(df.inputFiles())
+    if not files:
+        return uuid.uuid4().hex
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    stats = []
+    for name in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        stats.append(f"{name} {status.getLen()} {status.getModificationTime()}")
+    return _digest(df.schema.json(), *stats)
 
 
 def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: str,
                  layers: tuple[str, ...] = ("bronze", "silver", "gold"),
                  validate: bool = True, min_rows: int = 1000,
-                 run_id: str | None = None, parallel_writes: int = 4) -> dict[str, DataFrame]:
-    """K1: build and write every table of ``layers`` as a new run, then publish.
+                 run_id: str | None = None, parallel_writes: int = 4,
+                 versions: Mapping[str, str] | None = None, based_on: int | None = None,
+                 keep_runs: int | None = None, stop_after: str | None = None) -> dict[str, DataFrame]:
+    """K1: build and write every table of ``layers`` as a run, then publish it.
 
     Order: Bronze is written and checked, then Silver (built from the written
-    Bronze), then Gold (built from the written Silver). Each suite reads the
-    tables just written (column-pruned Parquet), so nothing is recomputed for
-    validation; a failing row-count floor raises before the
-    pointer moves, leaving the previous run published. Gold is built from the
+    Bronze), then Gold (built from the written Silver). The jobs that write the
+    tables observe their content fingerprints and everything the layer's checks
+    count, so checking scans nothing; only uniqueness needs a job of its own. A failing row-count floor raises before
+    anything is published, leaving the previous run current. Gold is built from the
     written Silver tables, and the order fact is kept once in working types so
     the item fact and the monthly aggregate read it instead of recomputing it.
     Tables of layers not requested are written empty (K2 clears Gold this way).
     The tables of a layer are written by up to ``parallel_writes`` concurrent
     jobs. Returns the Gold tables read back from the run.
+
+    Resuming: each finished table leaves a record of what it was made from. Called
+    again with the ``run_id`` of a run that stopped, tables whose inputs are unchanged are not
+    written again. A source's version is taken from its files, or from ``versions`` (name -> any text
+    that changes with the source); a Silver or Gold table's inputs are the fingerprints of the tables it reads.
+    ``stop_after`` ends the run after that layer, unpublished, to be looked at and taken up later.
+
+    ``based_on`` makes publishing conditional on that record being the last one
+    (``runs.publish``); ``keep_runs`` expires older runs afterwards (``runs.expire_runs``).
+
+    Sources read with a reject channel (``sources.rejects``) are held to its limits once Bronze is written.
     """
     from ledgerline.operators import gold as gold_ops
     from ledgerline.operators import quality
     from ledgerline.operators.silver import build_bronze, build_silver
 
     run_id = run_id or uuid.uuid4().hex
+    records: dict[str, TableRecord] = {}
+    checks = quality.checks_by_table(quality.suite_checks(min_rows)) if validate else {}
 
     def written(table: str) -> DataFrame:
         return read_published(spark, root, table, run_id)
@@ -157,12 +212,32 @@ def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
     def written_layer(order: list[str], strip: str = "") -> LazyTables:
         return LazyTables({t.removeprefix(strip): (lambda t=t: written(t)) for t in order})
 
+    def inputs_of(layer: str, table: str) -> str:
+        if layer not in layers:
+            return _digest(table, "empty")
+        if layer == "bronze":
+            name = table.removeprefix("bronze_")
+            return _digest(table, (versions or {}).get(name) or source_version(spark, sources[name]))
+        made_from = [t for t in schemas.INPUTS[table] if t in records]
+        outside = [] if made_from else [uuid.uuid4().hex]  # Silver straight from sources that no record names
+        full = [(versions or {}).get(n) or source_version(spark, sources[n]) for n in FULL_PRECISION_SOURCES if f"bronze_{n}" in made_from]
+        return _digest(table, *[records[t].content_hash + str(records[t].row_count) for t in made_from], *full, *outside)
+
+    def finished(layer: str, table: str) -> TableRecord | None:
+        """The record of a table that an earlier attempt wrote from the same inputs, with all that is to be checked."""
+        done = runs.recorded_table(spark, root, run_id, table)
+        counted = {f"_f{i}" for i, c in enumerate(checks.get(table, [])) if c.floor is None}
+        return done if done and done.inputs == inputs_of(layer, table) and set(done.checks) >= counted else None
+
     def write_one(layer: str, frames: Mapping[str, DataFrame], table: str) -> None:
-        path = _run_path(root, run_id, table)
-        if layer in layers:
-            _write(frames[table], path, table)
-        else:
-            spark.createDataFrame([], schemas.TABLES[table]).write.mode("overwrite").parquet(path)
+        done = finished(layer, table)
+        if done is None:
+            frame = frames[table] if layer in layers else spark.createDataFrame([], schemas.TABLES[table])
+            seen = _observed_write(frame, runs.table_path(root, run_id, table), table, checks.get(table, []))
+            counts = {k: v for k, v in seen.items() if k not in ("row_count", "content_hash")}
+            done = TableRecord(table, inputs_of(layer, table), seen["row_count"], seen["content_hash"], counts)
+            runs.record_table(spark, root, run_id, done)
+        records[table] = done
 
     def write_layer(layer: str, frames: Mapping[str, DataFrame], order: list[str]) -> None:
         # Tables of one layer only depend on earlier layers, so their jobs are
@@ -176,9 +251,20 @@ def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
         for f in futures:
             f.result()
 
+    def enforce(layer: str) -> None:
+        for table, some in checks.items():
+            if schemas.layer_of(table) == layer:
+                quality.enforce(quality.observed_report(spark, some, records[table].checks))
+
     write_layer("bronze", build_bronze(sources) if "bronze" in layers else {}, schemas.BRONZE_ORDER)
+    if "bronze" in layers and hasattr(sources, "enforce_limits"):
+        sources.enforce_limits()
     if validate and "bronze" in layers:
-        quality.enforce(quality.suite_bronze(written_layer(schemas.BRONZE_ORDER), min_rows))
+        enforce("bronze")
+        quality.enforce(quality.key_report(written_layer(schemas.BRONZE_ORDER), quality.BRONZE_KEYS))
+
+    if stop_after == "bronze":
+        return {}
 
     # Silver reads the written Bronze (parsed once, columnar, pruned), except
     # geolocation: Bronze keeps coordinates at 7 places and the per-zip mean
@@ -193,22 +279,26 @@ def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
     write_layer("silver", build_silver(silver_inputs) if "silver" in layers else {},
                 schemas.SILVER_ORDER)
     if validate and "silver" in layers:
-        quality.enforce(quality.suite_silver(written_layer(schemas.SILVER_ORDER)))
+        enforce("silver")
+    if stop_after == "silver":
+        return {}
 
     gold: Mapping[str, DataFrame] = {}
+    order_duplicates = None
     if "gold" in layers:
+        work = runs.work_path(root, run_id, "gold_fct_orders")
         if "silver" in layers:
             silver = written_layer(schemas.SILVER_ORDER, "silver_")
         else:
             silver = build_silver(sources, strip_prefix=True)
-        work = f"{root.rstrip('/')}/runs/{run_id}/_work/gold_fct_orders"
-        gold_ops.gold_fct_orders(silver).write.mode("overwrite").parquet(work)
-        fct = spark.read.parquet(work)
-        # The Gold suite checks order_id uniqueness anyway: do it once here (one
-        # column read back) and let the monthly aggregate use the result.
-        dup_row = quality.no_duplicates(fct, ["order_id"], "gold_fct_orders").first()
-        order_duplicates = spark.createDataFrame([dup_row], quality.REPORT_SCHEMA)
-        unique_ids = dup_row["failing"] == 0
+        facts = ("gold_fct_orders", "gold_fct_order_items", "gold_agg_sales_monthly")
+        if any(finished("gold", t) is None for t in facts):
+            gold_ops.gold_fct_orders(silver).write.mode("overwrite").parquet(work)
+            fct = spark.read.parquet(work)
+            # The Gold suite checks order_id uniqueness anyway: do it once here (one
+            # column read back) and let the monthly aggregate use the result.
+            order_duplicates = spark.createDataFrame([quality.no_duplicates(fct, ["order_id"], "gold_fct_orders").first()], quality.REPORT_SCHEMA)
+            unique_ids = order_duplicates.first()["failing"] == 0
         gold = LazyTables({
             "gold_dim_customers": lambda: gold_ops.gold_dim_customers(silver),
             "gold_dim_products": lambda: gold_ops.gold_dim_products(silver),
@@ -220,10 +310,15 @@ def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
         })
     write_layer("gold", gold, schemas.GOLD_ORDER)
     if validate and "gold" in layers:
-        quality.enforce(quality.suite_gold(written_layer(schemas.GOLD_ORDER), min_rows,
-                                           order_duplicates=order_duplicates))
-
-    _publish(spark, root, run_id)
+        enforce("gold")
+        if order_duplicates is None:
+            order_duplicates = quality.key_report(written_layer(schemas.GOLD_ORDER), quality.GOLD_KEYS)
+        quality.enforce(order_duplicates)
+
+    runs.publish(spark, root, run_id, based_on)
+    runs.drop_work(spark, root, run_id)
+    if keep_runs:
+        runs.expire_runs(spark, root, keep_runs)
     return {t: written(t) for t in schemas.GOLD_ORDER}
 
 
@@ -237,16 +332,26 @@ def layer_subset_refresh(spark: SparkSession, sources: Mapping[str, DataFrame],
             for t in schemas.SILVER_ORDER}
 
 
+def published_fingerprints(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
+    """(table_name, layer, row_count, content_hash) of every table of a published run, read back."""
+    run_id = run_id or current_run(spark, root)
+    return fingerprint.fingerprints(LazyTables({t: (lambda t=t: read_published(spark, root, t, run_id)) for t in schemas.LOAD_ORDER}),
+                                    {t: {"layer": schemas.layer_of(t)} for t in schemas.LOAD_ORDER})
+
+
 def published_row_counts(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
     """(table_name, layer, row_count) of every table of a published run."""
+    return published_fingerprints(spark, root, run_id).drop("content_hash")
+
+
+def changed_tables(spark: SparkSession, root: str, run_id: str | None = None) -> list[str]:
+    """Tables of a run whose files no longer hold what their records say."""
     run_id = run_id or current_run(spark, root)
-    parts = [read_published(spark, root, t, run_id).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(t).alias("table_name"), F.lit(schemas.layer_of(t)).alias("layer"),
-                     "row_count")
-             for t in schemas.LOAD_ORDER]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = []
+    for r in published_fingerprints(spark, root, run_id).collect():
+        record = runs.recorded_table(spark, root, run_id, r["table_name"])
+        if record is None or (record.row_count, record.content_hash) != (r["row_count"], r["content_hash"]):
+            out.append(r["table_name"])
     return out
 
 
