@@ -22,9 +22,9 @@ from ledgerline.operators.fingerprint import fingerprints
 from ledgerline.operators.modes import mode_per_group
 from ledgerline.plans.build import build_all
 from ledgerline.session import apply_sql_defaults, scratch_path
-from ledgerline.sinks import writers
+from ledgerline.sinks import runs, writers
 from ledgerline.sinks.writers import conform_columns, conform_types, register_views
-from ledgerline.sources import landing, readers
+from ledgerline.sources import landing, quoted, readers, rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -480,6 +480,90 @@ def q_load_dataset(spark, sf_dir):
     return fingerprints(readers.load_dataset(spark, base, files))
 
 
+# Bad input planted in the landed files: by a remainder of the order's number.
+BROKEN_ORDERS, UNDATED_ORDERS = 101, 97
+UNPRICED_ITEMS, SPLIT_ITEMS = 103, 107
+SHORT_PAYMENTS, MANY_INSTALLMENTS = 83, 89
+LONG_COMMENTS, UNSCORED_REVIEWS, SOON_REVIEWS = 7, 11, 13
+COMMENT = 'two\nlines, "quoted"'
+
+
+def _texts(df: DataFrame) -> DataFrame:
+    """Every column as the text of an export: timestamps to the second, doubles with four places."""
+    def text(f: T.StructField):
+        if isinstance(f.dataType, T.TimestampNTZType):
+            return F.date_format(f.name, "yyyy-MM-dd HH:mm:ss")
+        return F.col(f.name).cast("decimal(20,4)" if isinstance(f.dataType, T.DoubleType) else f.dataType).cast("string")
+
+    return df.select(*[text(f).alias(f.name) for f in df.schema.fields])
+
+
+def land_with_rejects(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
+    """The nine sources as CSV files, with bad lines and values planted in four of them."""
+    every = lambda n: F.col("order_id").cast("long") % n == 0
+    plants = {
+        "orders": {"order_approved_at": (UNDATED_ORDERS, "not a date")},
+        "order_items": {"price": (UNPRICED_ITEMS, "free"), "order_item_id": (SPLIT_ITEMS, "1.5")},
+        "order_payments": {"payment_installments": (MANY_INSTALLMENTS, "many")},
+        "order_reviews": {"review_score": (UNSCORED_REVIEWS, "x"), "review_creation_date": (SOON_REVIEWS, "soon"),
+                          "review_comment_message": (LONG_COMMENTS, COMMENT)},
+    }
+    files = {}
+    for name, df in staging.load_sources(spark, sf_dir).items():
+        text = _texts(df)
+        text = text.withColumns({c: F.when(every(n), F.lit(v)).otherwise(F.col(c)) for c, (n, v) in plants.get(name, {}).items()})
+        line = F.to_csv(F.struct(*text.columns), {"quote": '"', "escape": '"'})
+        if name == "orders":
+            line = F.when(every(BROKEN_ORDERS), F.concat(line, F.lit(",one too many"))).otherwise(line)
+        if name == "order_payments":
+            line = F.when(every(SHORT_PAYMENTS), F.concat_ws(",", "order_id", "payment_sequential")).otherwise(line)
+        files[name] = f"{name}.csv"
+        landing.write_lines(text.select(line.alias("line")), ",".join(text.columns), f"{base}/{files[name]}")
+    return files
+
+
+def _checked_bronze(spark: SparkSession, sf_dir: str) -> str:
+    """Land, load with the reject channel and write Bronze as a run; returns the sink's root."""
+    base, root = scratch_path(spark, "rejects-landed"), scratch_path(spark, "rejects")
+    limits = {reason: 1.0 for reason in rejects.DEFAULT_LIMITS}
+    sources = rejects.load_checked(spark, base, land_with_rejects(spark, sf_dir, base), limits)
+    writers.full_refresh(spark, sources, root, run_id="checked", validate=False, stop_after="bronze")
+    return root
+
+
+@register("reject_counts")
+def q_reject_counts(spark, sf_dir):
+    """What the job that wrote Bronze counted as rejected, per table, reason and column."""
+    return writers.run_rejects(spark, _checked_bronze(spark, sf_dir), "checked")
+
+
+@register("rejected_lines")
+def q_rejected_lines(spark, sf_dir):
+    """The rejected lines that the run kept, a row per thing that is wrong with one."""
+    return spark.read.schema(rejects.LINE_SCHEMA).parquet(runs.rejects_path(_checked_bronze(spark, sf_dir), "checked"))
+
+
+@register("reject_bronze")
+def q_reject_bronze(spark, sf_dir):
+    """Fingerprints of the Bronze tables that the checked load wrote: broken lines left out, bad values NULL."""
+    root = _checked_bronze(spark, sf_dir)
+    return fingerprints({t: writers.read_published(spark, root, t, "checked") for t in schemas.BRONZE_ORDER})
+
+
+@register("scan_csv_quoted")
+def q_scan_csv_quoted(spark, sf_dir):
+    """Reviews with quoted newlines in one CSV file, read by several tasks (small splits here)."""
+    path, before = scratch_path(spark, "scan_quoted"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    reviews = staged(spark, sf_dir, "order_reviews").withColumn(
+        "review_comment_message", F.when(F.col("order_id") % LONG_COMMENTS == 0, F.lit(COMMENT)).otherwise(F.col("review_comment_message")))
+    landing.write_csv(reviews.coalesce(1), path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        return quoted.read_csv_quoted(spark, path, reviews.schema)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 @register("scan_csv_latin1")
 def q_scan_csv_latin1(spark, sf_dir):
     """Customers landed as ISO-8859-1 CSV and decoded."""
@@ -505,6 +589,25 @@ def q_coerce_timestamps(spark, sf_dir):
     return readers.coerce_timestamps(text, ts_cols)
 
 
+@register("coerce_timestamps_items")
+def q_coerce_timestamps_items(spark, sf_dir):
+    """Shipping limits as text, some of them no dates."""
+    items = staged(spark, sf_dir, "order_items")
+    text = F.date_format("shipping_limit_date", "yyyy-MM-dd HH:mm:ss")
+    items = items.withColumn("shipping_limit_date", F.when(F.col("order_id") % 97 == 0, F.lit("2021-02-30 00:00:00")).otherwise(text))
+    return readers.coerce_timestamps(items, schemas.TIMESTAMP_COLUMNS["order_items"])
+
+
+@register("coerce_timestamps_reviews")
+def q_coerce_timestamps_reviews(spark, sf_dir):
+    """Both review timestamps as text (a day for each review), some of them no dates."""
+    day = lambda n: F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("review_id") % n).cast("int")), "yyyy-MM-dd 00:00:00")
+    reviews = staged(spark, sf_dir, "order_reviews").withColumns({
+        "review_creation_date": F.when(F.col("review_id") % 5 != 0, day(300)).otherwise("soon"),
+        "review_answer_timestamp": F.when(F.col("review_id") % 3 != 0, day(400))})
+    return readers.coerce_timestamps(reviews, schemas.TIMESTAMP_COLUMNS["order_reviews"])
+
+
 @register("normalize_null_tokens")
 def q_normalize_null_tokens(spark, sf_dir):
     """Missing-value tokens in text columns become NULL."""
@@ -551,19 +654,16 @@ def q_create_layer_tables(spark, sf_dir):
 
 @register("register_views")
 def q_register_views(spark, sf_dir):
-    """K7: Silver registered as SQL views; the item summary written in SQL."""
+    """K7: Silver registered as SQL views, and a question asked over three of them: per order status,
+    how much was ordered and how much of it was paid for."""
     register_views(S.build_silver(staging.load_sources(spark, sf_dir)), strip="silver_")
     return spark.sql("""
-        SELECT order_id,
-               COUNT(order_item_id) AS items_count,
-               COUNT(DISTINCT product_id) AS products_count,
-               COUNT(DISTINCT seller_id) AS sellers_count,
-               CAST(SUM(price) AS DECIMAL(18,2)) AS items_value,
-               CAST(SUM(freight_value) AS DECIMAL(18,2)) AS freight_value,
-               CAST(SUM(CAST(price + freight_value AS DECIMAL(14,2))) AS DECIMAL(18,2))
-                   AS order_total_value
-        FROM order_items
-        GROUP BY order_id""")
+        WITH ordered AS (SELECT order_id, CAST(SUM(price) AS DECIMAL(18,2)) AS goods FROM order_items GROUP BY order_id),
+             settled AS (SELECT order_id, CAST(SUM(payment_value) AS DECIMAL(18,2)) AS paid FROM order_payments GROUP BY order_id)
+        SELECT o.order_status, COUNT(*) AS n_orders, COUNT(g.goods) AS n_with_items, COUNT(s.paid) AS n_paid,
+               CAST(SUM(g.goods) AS DECIMAL(18,2)) AS goods, CAST(SUM(s.paid) AS DECIMAL(18,2)) AS paid
+        FROM orders o LEFT JOIN ordered g ON g.order_id = o.order_id LEFT JOIN settled s ON s.order_id = o.order_id
+        GROUP BY o.order_status""")
 
 
 @register("sink_full_refresh")
@@ -583,6 +683,33 @@ def q_sink_layer_subset(spark, sf_dir):
     return writers.published_fingerprints(spark, root)
 
 
+@register("month_pruned_read")
+def q_month_pruned_read(spark, sf_dir):
+    """K1/K6: the order fact laid out by purchase month, two months of it replaced, and two months (and
+    the rows without one) read back: only those months' files are touched."""
+    path, table = scratch_path(spark, "months"), "gold_fct_orders"
+    fct = G.gold_fct_orders(silver_tables(spark, sf_dir))
+    month = F.when(F.col("order_id") % 50 != 0, F.col("purchase_year_month"))  # some orders without a month
+    fct = conform_types(fct.withColumn("purchase_year_month", month), table)
+    writers.write_table(writers.laid_out(fct, table), path, table)
+    closed = fct.where(F.col("purchase_year_month").isin("1994-03", "1994-04")).withColumn("order_status", F.lit("closed"))
+    writers.replace_months(closed, path, table)
+    return writers.read_months(spark, path, table, ["1994-04", "1994-05", None])
+
+
+@register("month_dynamic_pruning")
+def q_month_dynamic_pruning(spark, sf_dir):
+    """K1/K6: items of the months with the lowest on-time rates: the months come from a join with the
+    monthly table, so the fact's files are pruned while the query runs."""
+    path = scratch_path(spark, "month_items")
+    silver = silver_tables(spark, sf_dir)
+    items = conform_types(G.gold_fct_order_items(silver), "gold_fct_order_items")
+    writers.write_table(writers.laid_out(items, "gold_fct_order_items"), path, "gold_fct_order_items")
+    stored = spark.read.schema(schemas.TABLES["gold_fct_order_items"]).parquet(path)
+    monthly = G.gold_agg_sales_monthly(G.gold_fct_orders(silver)).where("orders_count < 100").select("purchase_year_month")
+    return stored.join(monthly, "purchase_year_month").select(*schemas.columns("gold_fct_order_items"))
+
+
 @register("sink_resume")
 def q_sink_resume(spark, sf_dir):
     """A run that stopped after Silver, taken up again: Gold alone is written, then published."""

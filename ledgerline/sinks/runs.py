@@ -19,7 +19,7 @@ import json
 import os
 import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -114,19 +114,26 @@ def work_path(root: str, run_id: str, name: str) -> str:
     return f"{root.rstrip('/')}/runs/{run_id}/_work/{name}"
 
 
+def rejects_path(root: str, run_id: str) -> str:
+    """The rejected lines of a run, where there are any."""
+    return f"{root.rstrip('/')}/runs/{run_id}/_rejects"
+
+
 def drop_work(spark: SparkSession, root: str, run_id: str) -> None:
     _Store(spark, root).delete(f"runs/{run_id}/_work")
 
 
 @dataclass(frozen=True)
 class TableRecord:
-    """What a finished table was made from and what its write observed."""
+    """What a finished table was made from and what its write observed: rows, content, what the
+    checks counted and, for a source with a reject channel, what was rejected."""
 
     table: str
     inputs: str
     row_count: int
     content_hash: str
     checks: Mapping[str, int]
+    rejects: Sequence[Sequence] = ()
 
 
 def record_table(spark: SparkSession, root: str, run_id: str, record: TableRecord) -> None:

@@ -25,6 +25,7 @@ from ledgerline import schemas
 from ledgerline.operators import fingerprint
 from ledgerline.sinks import runs
 from ledgerline.sinks.runs import TableRecord, current_run
+from ledgerline.sources.rejects import CheckedDataset, enforce_limits
 from ledgerline.tables import LazyTables
 
 # ---------------------------------------------------------------------------
@@ -196,7 +197,8 @@ def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
     ``based_on`` makes publishing conditional on that record being the last one
     (``runs.publish``); ``keep_runs`` expires older runs afterwards (``runs.expire_runs``).
 
-    Sources read with a reject channel (``sources.rejects``) are held to its limits once Bronze is written.
+    Sources read with a reject channel (``sources.rejects``) are held to its limits once Bronze is
+    written; the lines of tables that have rejects are kept in the run.
     """
     from ledgerline.operators import gold as gold_ops
     from ledgerline.operators import quality
@@ -235,7 +237,8 @@ def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
             frame = frames[table] if layer in layers else spark.createDataFrame([], schemas.TABLES[table])
             seen = _observed_write(frame, runs.table_path(root, run_id, table), table, checks.get(table, []))
             counts = {k: v for k, v in seen.items() if k not in ("row_count", "content_hash")}
-            done = TableRecord(table, inputs_of(layer, table), seen["row_count"], seen["content_hash"], counts)
+            rejected = sources.table(table.removeprefix("bronze_")).counts() if layer == "bronze" and isinstance(sources, CheckedDataset) else ()
+            done = TableRecord(table, inputs_of(layer, table), seen["row_count"], seen["content_hash"], counts, rejected)
             runs.record_table(spark, root, run_id, done)
         records[table] = done
 
@@ -257,8 +260,11 @@ def full_refresh(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
                 quality.enforce(quality.observed_report(spark, some, records[table].checks))
 
     write_layer("bronze", build_bronze(sources) if "bronze" in layers else {}, schemas.BRONZE_ORDER)
-    if "bronze" in layers and hasattr(sources, "enforce_limits"):
-        sources.enforce_limits()
+    if "bronze" in layers and isinstance(sources, CheckedDataset):
+        counts = [tuple(row) for t in schemas.BRONZE_ORDER for row in records[t].rejects]
+        if some := sorted({table for table, _, _, rejected, _ in counts if rejected}):
+            sources.lines(spark, some).write.mode("overwrite").parquet(runs.rejects_path(root, run_id))
+        enforce_limits(counts, sources.limits)
     if validate and "bronze" in layers:
         enforce("bronze")
         quality.enforce(quality.key_report(written_layer(schemas.BRONZE_ORDER), quality.BRONZE_KEYS))
@@ -344,6 +350,14 @@ def published_row_counts(spark: SparkSession, root: str, run_id: str | None = No
     return published_fingerprints(spark, root, run_id).drop("content_hash")
 
 
+def run_rejects(spark: SparkSession, root: str, run_id: str) -> DataFrame:
+    """(table_name, reason, column_name, rejected, total): what a run's Bronze writes counted, from its records."""
+    from ledgerline.sources.rejects import COUNT_SCHEMA
+
+    rows = [tuple(row) for t in schemas.BRONZE_ORDER if (r := runs.recorded_table(spark, root, run_id, t)) for row in r.rejects]
+    return spark.createDataFrame(rows, COUNT_SCHEMA)
+
+
 def changed_tables(spark: SparkSession, root: str, run_id: str | None = None) -> list[str]:
     """Tables of a run whose files no longer hold what their records say."""
     run_id = run_id or current_run(spark, root)

@@ -11,6 +11,12 @@ def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
      .option("escape", '"').option("encoding", encoding).csv(path))
 
 
+def write_lines(lines: DataFrame, header: str, path: str) -> None:
+    """Write ready-made text lines (column ``line``), each file beginning with ``header``."""
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of its partition, so of its file
+    lines.select(F.when(first, F.concat(F.lit(header + "\n"), "line")).otherwise(F.col("line"))).write.mode("overwrite").text(path)
+
+
 def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

@@ -3,9 +3,9 @@
 All readers take an explicit schema (no inference pass over the data) and are
 lazy. Formats:
 
-* CSV: header row, comma, RFC quotes with doubled quotes; ``multi_line`` only
-  for files whose quoted fields contain newlines (such files cannot be split,
-  so keep it off for the large tables). A UTF-8 byte-order mark before the
+* CSV: header row, comma, RFC quotes with doubled quotes; ``multi_line`` for files
+  whose quoted fields contain newlines, where they are small (it reads each
+  file in one piece; ``sources.quoted`` splits them). A UTF-8 byte-order mark before the
   header is dropped by Spark's reader.
 * JSON: JSON Lines by default (splittable); ``multi_line`` for files holding
   one JSON array or document.
@@ -17,6 +17,7 @@ lazy. Formats:
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,24 +190,34 @@ def normalize_null_tokens(df: DataFrame, tokens: list[str] | None = None) -> Dat
     return df.withColumns({c: F.when(~F.col(c).isin(tokens), F.col(c)) for c in text_cols})
 
 
+def require_files(spark: SparkSession, base: str, files: Mapping[str, str]) -> None:
+    """Report all missing files of a dataset in one error."""
+    base = base.rstrip("/")
+    missing = [f for f in files.values() if not path_exists(spark, f"{base}/{f}")]
+    if missing:
+        raise FileNotFoundError(f"required files not found in {base}: {missing}")
+
+
 def load_dataset(spark: SparkSession, base: str, files: dict[str, str],
                  schemas_by_table: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
     """The nine-table dataset. All missing files are reported in one error
     before anything is read. Text sources have their null tokens removed (S10) and
-    text timestamps coerced (S9); only ``MULTI_LINE`` sources, whose free text may hold
-    quoted newlines, are read unsplit."""
+    text timestamps coerced (S9); ``MULTI_LINE`` sources, whose free text may hold quoted
+    newlines, are split like the others (``sources.quoted``)."""
+    require_files(spark, base, files)
     base = base.rstrip("/")
-    missing = [f for f in files.values() if not path_exists(spark, f"{base}/{f}")]
-    if missing:
-        raise FileNotFoundError(f"required files not found in {base}: {missing}")
     tables = {}
     for name, fname in files.items():
         schema = (schemas_by_table or {}).get(name)
         if schema is None and suffix_of(fname) != ".parquet":
             schema = schemas.raw_schema(name)
         suffix = suffix_of(fname)
-        options = {"multi_line": True} if suffix == ".csv" and name in MULTI_LINE else {}
-        df = read_by_suffix(spark, f"{base}/{fname}", schema, **options)
+        if suffix == ".csv" and name in MULTI_LINE:
+            from ledgerline.sources.quoted import read_csv_quoted
+
+            df = read_csv_quoted(spark, f"{base}/{fname}", schema)
+        else:
+            df = read_by_suffix(spark, f"{base}/{fname}", schema)
         if suffix != ".parquet":
             df = normalize_null_tokens(df)
         df = restore_integers(df, schemas.INTEGER_COLUMNS.get(name, []))
