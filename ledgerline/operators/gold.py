@@ -11,9 +11,9 @@ Plan shape (what Catalyst gets to optimise as one plan):
 * the main payment type needs no window and no join back: payments are first
   combined per (order, type) and the winner is picked with ``min_by`` over an
   ordering struct while the per-order totals are finished in the same step;
-* dimensions join small lookup tables (one row per zip / category); AQE
-  broadcasts them when their measured size is below the threshold, otherwise it
-  keeps a sort-merge join and splits skewed zips.
+* dimensions join lookup tables (one row per zip / category); AQE broadcasts them
+  when their measured size is below the threshold; where they are too large for that,
+  the rows of a hot zip or category are dealt out over several tasks.
 
 Every input is a Silver table without the ``silver_`` prefix.
 """
@@ -249,7 +249,7 @@ def _with_geo(df: DataFrame, zip_col: str, geolocations: DataFrame, prefix: str)
         F.col("city").alias(f"{prefix}_geo_city"),
         F.col("state").alias(f"{prefix}_geo_state"),
     )
-    return df.join(geo, zip_col, "left")
+    return left_join_split(df, geo, zip_col)
 
 
 def gold_dim_customers(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -266,8 +266,7 @@ def gold_dim_products(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Products with the English category; duplicate categories would fan out."""
     categories = tables["product_categories"].select(
         "product_category_name", "product_category_name_english")
-    return (tables["products"].join(categories, "product_category_name", "left")
-            .select(*columns("gold_dim_products")))
+    return left_join_split(tables["products"], categories, "product_category_name").select(*columns("gold_dim_products"))
 
 
 def build_gold(tables: Mapping[str, DataFrame]) -> LazyTables:

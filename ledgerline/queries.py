@@ -24,7 +24,7 @@ from ledgerline.plans.build import build_all
 from ledgerline.session import apply_sql_defaults, scratch_path
 from ledgerline.sinks import runs, writers
 from ledgerline.sinks.writers import conform_columns, conform_types, register_views
-from ledgerline.sources import landing, quoted, readers, rejects
+from ledgerline.sources import drift, landing, quoted, readers, rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -450,6 +450,34 @@ def q_scan_json_envelope(spark, sf_dir):
     return readers.read_json_envelope(spark, path, payments.schema)
 
 
+def _drifting_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments landed as JSON records of drifting shape: some with a field more, some with the
+    installments as a word, some lines cut off."""
+    path = scratch_path(spark, "drifting")
+    payments = staged(spark, sf_dir, "order_payments")
+    k = F.col("order_id") % 20
+    plain = F.struct(*payments.columns)
+    more = F.struct(*payments.columns, F.lit(True).alias("gift"), F.struct(F.lit("app").alias("name")).alias("channel"))
+    words = F.struct(*[F.lit("three").alias(c) if c == "payment_installments" else F.col(c) for c in payments.columns])
+    line = F.when(k == 0, F.to_json(more)).when(k == 1, F.to_json(words)).when(k == 2, F.substring(F.to_json(plain), 1, 20)).otherwise(F.to_json(plain))
+    payments.select(line.alias("value")).write.text(path)
+    return drift.read_variants(spark, path)
+
+
+@register("scan_json_drift")
+def q_scan_json_drift(spark, sf_dir):
+    """Records of drifting shape, their declared fields."""
+    schema = staged(spark, sf_dir, "order_payments").schema
+    return drift.declared(_drifting_payments(spark, sf_dir), schema)
+
+
+@register("json_drift_report")
+def q_json_drift_report(spark, sf_dir):
+    """What of the records did not fit the declared schema, per field and type seen."""
+    schema = staged(spark, sf_dir, "order_payments").schema
+    return drift.drift(_drifting_payments(spark, sf_dir), schema)
+
+
 @register("scan_by_suffix")
 def q_scan_by_suffix(spark, sf_dir):
     """The reader is chosen from the path suffix (.csv here)."""

@@ -17,12 +17,13 @@ import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schemas
 from ledgerline.operators import fingerprint
+from ledgerline.session import scratch_path
 from ledgerline.sinks import runs
 from ledgerline.sinks.runs import TableRecord, current_run
 from ledgerline.sources.rejects import CheckedDataset, enforce_limits
@@ -59,9 +60,33 @@ def conform_types(df: DataFrame, table: str) -> DataFrame:
 
 
 def ddl_of(schema: T.StructType) -> str:
-    return ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
-        for f in schema.fields)
+    """Column definitions with their declared lengths (``VARCHAR(n)``) and NOT NULL."""
+    def kind(f: T.StructField) -> str:
+        limit = f.metadata.get("max_length")
+        return f"VARCHAR({limit})" if limit and isinstance(f.dataType, T.StringType) else f.dataType.simpleString()
+
+    return ", ".join(f"`{f.name}` {kind(f)}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields)
+
+
+def enforced(df: DataFrame, table: str) -> DataFrame:
+    """The conformed frame whose rows must keep the declared NOT NULL, length and UNSIGNED rules.
+
+    The first row that breaks one fails the job, with the table, the column and the value named.
+    Data-source tables keep NOT NULL as a comment only, and Spark's own length check names no column.
+    """
+    def kept(f: T.StructField) -> Column:
+        c, limit = F.col(f.name), f.metadata.get("max_length")
+        fail = lambda what: F.raise_error(F.concat(F.lit(f"[{table}] {f.name} {what}"), F.coalesce(F.concat(F.lit(": "), c.cast("string")), F.lit("")))).cast(f.dataType)
+        out = c
+        if f.metadata.get("unsigned"):
+            out = F.when(c < 0, fail("is negative")).otherwise(out)
+        if limit and isinstance(f.dataType, T.StringType):
+            out = F.when(F.length(c) > limit, fail(f"is longer than {limit}")).otherwise(out)
+        if not f.nullable:
+            out = F.when(c.isNull(), fail("is null")).otherwise(out)
+        return out.alias(f.name, metadata=f.metadata)
+
+    return conform_types(df, table).select(*[kept(f) for f in schemas.TABLES[table].fields])
 
 
 def create_layer_tables(spark: SparkSession, root: str, database_prefix: str = "ledgerline",
@@ -82,8 +107,14 @@ def create_layer_tables(spark: SparkSession, root: str, database_prefix: str = "
 
 
 def insert_full_refresh(df: DataFrame, qualified_table: str, table: str) -> None:
-    """Replace the contents of a catalog table with the conformed frame."""
-    conform_types(df, table).write.insertInto(qualified_table, overwrite=True)
+    """Replace the contents of a catalog table with the conformed frame, whose rows must keep the declared rules.
+
+    An overwriting insert empties the table before it writes, so the rows are written and checked beside it
+    first: a row that is refused leaves the earlier contents in place.
+    """
+    path = scratch_path(df.sparkSession, f"staged-{table}")
+    enforced(df, table).write.parquet(path)
+    df.sparkSession.read.schema(schemas.TABLES[table]).parquet(path).write.insertInto(qualified_table, overwrite=True)
 
 
 # ---------------------------------------------------------------------------

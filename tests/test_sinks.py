@@ -109,3 +109,25 @@ def test_latest_publish_wins_and_old_runs_stay_readable(spark, raw_tables):
     assert writers.read_published(spark, root, "silver_orders", "run_a").count() == 4
     with pytest.raises(FileNotFoundError):
         writers.current_run(spark, scratch_path(spark, "never_published"))
+
+
+@pytest.mark.parametrize("column, value, said", [
+    ("customer_state", "SPX", r"\[silver_customers\] customer_state is longer than 2: SPX"),
+    ("customer_id", None, r"\[silver_customers\] customer_id is null"),
+    ("customer_zip_code_prefix", -1, r"\[silver_customers\] customer_zip_code_prefix is negative: -1")])
+def test_enforced_load_names_table_column_and_value(raw_tables, column, value, said):
+    customers = raw_tables["customers"]
+    assert writers.enforced(customers, "silver_customers").count() == 4
+    bad = customers.withColumn(column, F.when(F.col("customer_id") == "cust_003", F.lit(value)).otherwise(F.col(column)))
+    with pytest.raises(Exception, match=said):
+        writers.enforced(bad, "silver_customers").collect()
+
+
+def test_catalog_declares_lengths_and_refuses_bad_rows(spark, raw_tables):
+    created = writers.create_layer_tables(spark, scratch_path(spark, "enforced"), "t_enforced")
+    target = created["silver_customers"]
+    assert "varchar(2)" in {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE {target}").collect()}["customer_state"]
+    writers.insert_full_refresh(raw_tables["customers"], target, "silver_customers")
+    with pytest.raises(Exception, match="customer_state is longer than 2"):
+        writers.insert_full_refresh(raw_tables["customers"].withColumn("customer_state", F.lit("long")), target, "silver_customers")
+    assert spark.table(target).count() == 4  # the earlier contents stay
