@@ -4,19 +4,24 @@
 recovered from the ranks, and tokens are spelled with one printable character per
 byte. Texts are cut where the split pattern always cuts (white space starts a new
 piece, one space staying with the word after it), so every distinct piece of a
-task is encoded once by the library and reused.
+task is encoded once by the library and reused: the library's splitter cuts it (a
+piece of letters alone is one match and goes without), its bytes are spelled as characters,
+and the library's model merges them.
 
 ``encode`` returns ids as little-endian unsigned 32-bit integers in one binary
 (4 bytes a token) and, if asked for, each token's character offsets in the text.
-Tokens that hold part of a character's bytes share that character's offsets.
+Tokens that hold part of a character's bytes share that character's offsets, and
+``n_split`` counts the tokens that begin or end inside one.
 With ``decoded`` the same task also decodes the ids it made, so texts go to Python once.
-``decode`` reverses the byte table; joined bytes are exact even where a token
-ends inside a character. ``token_texts`` gives one string per token: a split
-character belongs to the token that completes it.
+``decode`` spells the ids and reverses the byte table, by one gather over a flat table for all texts of
+a batch; joined bytes are exact even where a token ends inside a character. ``token_texts`` gives
+one string per token: a split character belongs to the token that completes it.
 
 Defined cases: null and empty texts have no tokens; strings that look like special
-tokens are ordinary text; an empty table gives an empty result; other columns pass
-through only where they are listed in ``keep``.
+tokens are ordinary text; each input row gives one row, repeated ones too; a very long text is
+encoded whole, its longest pieces without being remembered; an empty table gives an empty
+result; other columns pass through only where they are listed in ``keep``, whose names must
+not be those of the result.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ import codecs
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -43,8 +49,10 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 PIECES = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 #: Distinct pieces a task remembers at once; beyond it the memory is emptied and filled anew.
 REMEMBERED = 250_000
-#: Pieces handed to the library at once, whose results are large objects.
-HANDED = 4096
+#: Characters of the longest piece that is remembered.
+LONG_PIECE = 64
+#: Pieces that are one match of the split pattern in every version of Unicode.
+LETTERS = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
 
 
 def byte_characters() -> list[str]:
@@ -88,18 +96,22 @@ def library_spec(ranks: dict[bytes, int], pattern: str) -> str:
 
 
 class BytePairCodec:
-    """The library's JSON and the token table; the library itself is opened in the task."""
+    """The library's JSON and the flat table of what the ids spell; the library itself is opened in the task."""
 
-    def __init__(self, spec: str, tokens: list[bytes]):
-        self.spec, self.tokens = spec, tokens
+    def __init__(self, spec: str, text: np.ndarray, sizes: np.ndarray):
+        self.spec, self.text, self.sizes = spec, text, sizes
+        self.at = np.cumsum(sizes) - sizes
 
     @classmethod
     def of_ranks(cls, path: str, pattern: str = public_tokenizers.PATTERN) -> BytePairCodec:
         ranks = read_ranks(path)
-        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
-        return cls(library_spec(ranks, pattern), tokens)
+        spec = library_spec(ranks, pattern)
+        words = [""] * (max(ranks.values(), default=-1) + 1)
+        for word, rank in json.loads(spec)["model"]["vocab"].items():
+            words[rank] = word
+        reverse = {ord(c): chr(b) for b, c in enumerate(byte_characters())}
+        text = "".join(words).translate(reverse).encode("latin-1")
+        return cls(spec, np.frombuffer(text, "uint8"), np.array([len(w) for w in words], "int64"))
 
     def open(self):
         from tokenizers import Tokenizer
@@ -110,36 +122,68 @@ class BytePairCodec:
     def encoder(self, offsets: bool = False):
         """A function from a list of texts to a list of (ids, starts, ends)."""
         library, cut, memory = self.open(), re.compile(PIECES).findall, {}
+        split, merge = library.pre_tokenizer.pre_tokenize_str, library.model.tokenize
+        spelling = {b: c for b, c in enumerate(byte_characters()) if b != 10}
+
+        def coded(spelled: Sequence[str]) -> bytes:
+            return array("I", [token.id for word in spelled for token in merge(word)]).tobytes()
+
+        def learned(pieces: list[str]) -> dict[str, bytes]:
+            """Ids of new pieces; those of letters are spelled together, a line feed between two."""
+            letters = [p for p in pieces if LETTERS(p)]
+            words = "\n".join(letters).encode().decode("latin-1").translate(spelling).split("\n")
+            out = {p: coded([w]) for p, w in zip(letters, words)}
+            out.update((p, coded([w for w, _ in split(p)])) for p in pieces if p not in out)
+            return out
 
         def encode(texts: Sequence[str]) -> list[tuple]:
             cuts = [cut(t) for t in texts]
-            new = list({p for pieces in cuts for p in pieces} - memory.keys())
+            new = set().union(*cuts).difference(memory)
             if len(memory) + len(new) > REMEMBERED:
                 memory.clear()
-                new = list({p for pieces in cuts for p in pieces})
-            for some in (new[i:i + HANDED] for i in range(0, len(new), HANDED)):
-                for piece, e in zip(some, (library.encode_batch if offsets else library.encode_batch_fast)(some, add_special_tokens=False)):
-                    ids = np.array(e.ids, "<u4").tobytes()
-                    memory[piece] = (ids, np.array(e.offsets, "int32").reshape(-1, 2)) if offsets else ids
+                new = set().union(*cuts)
+            found = learned(list(new))
+            long = {p: x for p, x in found.items() if len(p) > LONG_PIECE}
+            memory.update(found)
+            out = [b"".join(map(memory.__getitem__, pieces)) for pieces in cuts]
+            for p in long:
+                del memory[p]
             if not offsets:
-                return [(b"".join(map(memory.__getitem__, pieces)), None, None) for pieces in cuts]
-            out = []
-            for pieces in cuts:
-                starts = np.cumsum([0, *map(len, pieces)])
-                at = [memory[p][1] + s for p, s in zip(pieces, starts)]
-                at = np.concatenate(at) if at else np.zeros((0, 2), "int32")
-                out.append((b"".join(memory[p][0] for p in pieces), at[:, 0], at[:, 1]))
-            return out
+                return [(x, None, None) for x in out]
+            return [(x, *self.offsets(x, t)) for x, t in zip(out, texts)]
 
         return encode
 
+    def offsets(self, ids: bytes, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """First and last (exclusive) character of the text that each token has bytes of."""
+        ends = np.cumsum(self.sizes[np.frombuffer(ids, "<u4")])
+        starts = ends - self.sizes[np.frombuffer(ids, "<u4")]
+        character = np.cumsum((np.frombuffer(text.encode(), "uint8") & 0xC0) != 0x80)
+        return (character[starts] - 1).astype("int32"), character[ends - 1].astype("int32")
+
+    def split_tokens(self, ids: bytes, text: bytes) -> int:
+        """How many tokens begin or end inside a character."""
+        inside = np.append((np.frombuffer(text, "uint8") & 0xC0) == 0x80, False)
+        sizes = self.sizes[np.frombuffer(ids, "<u4")]
+        ends = np.cumsum(sizes)
+        return int((inside[ends - sizes] | inside[ends]).sum())
+
+    def decode_all(self, ids: Sequence[bytes]) -> list[bytes]:
+        """The bytes that each sequence of ids stands for."""
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = self.sizes[flat]
+        ends = np.cumsum(size)
+        out = self.text[np.repeat(self.at[flat] - (ends - size), size) + np.arange(int(size.sum()))].tobytes()
+        last = np.concatenate([[0], ends])[np.cumsum([0, *(len(x) // 4 for x in ids)])].tolist()
+        return [out[a:b] for a, b in zip(last, last[1:])]
+
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return self.decode_all([ids])[0]
 
     def token_texts(self, ids: bytes) -> list[str]:
         """One string per token; a character split over tokens belongs to the one that completes it."""
         step = codecs.getincrementaldecoder("utf-8")("replace")
-        return [step.decode(self.tokens[i]) for i in np.frombuffer(ids, "<u4").tolist()]
+        return [step.decode(t) for t in self.decode_all([i.tobytes() for i in np.frombuffer(ids, "<u4")])]
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -156,10 +200,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) ->
 
 def encode(df: DataFrame, codec: BytePairCodec, text_col: str = "text", keep: Sequence[str] = ("doc_id",),
            offsets: bool = False, decoded: bool = False) -> DataFrame:
-    """``keep`` columns, ``n_tokens`` and ``ids``; with ``offsets`` also ``starts`` and ``ends``,
+    """``keep`` columns, ``n_tokens``, ``n_split`` and ``ids``; with ``offsets`` also ``starts`` and ``ends``,
     with ``decoded`` the bytes that the ids stand for."""
-    shared = df.sparkSession.sparkContext.broadcast((codec.spec, codec.tokens))  # as large as the vocabulary
-    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
+    taken = {"n_tokens", "n_split", "ids", *(("starts", "ends") if offsets else ()), *(("decoded",) if decoded else ())}
+    if clash := taken & set(keep):
+        raise ValueError(f"columns to keep have names of the result: {sorted(clash)}")
+    shared = df.sparkSession.sparkContext.broadcast((codec.spec, codec.text, codec.sizes))  # as large as the vocabulary
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("n_split", T.LongType()), T.StructField("ids", T.BinaryType())]
     if offsets:
         fields += [T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("starts", "ends")]
     if decoded:
@@ -169,28 +216,31 @@ def encode(df: DataFrame, codec: BytePairCodec, text_col: str = "text", keep: Se
         codec = BytePairCodec(*shared.value)
         coded = codec.encoder(offsets)
         for batch in slices(batches, "_text", 1 << 20):
-            out = coded(batch.column("_text").to_pylist())
-            columns = {c: batch.column(c) for c in keep}
+            texts = batch.column("_text").to_pylist()
+            out = coded(texts)
+            columns = {c: batch.column(f"_{k}") for k, c in enumerate(keep)}
             columns["n_tokens"] = pa.array([len(x[0]) // 4 for x in out], pa.int64())
+            columns["n_split"] = pa.array([0 if t.isascii() else codec.split_tokens(x[0], t.encode()) for x, t in zip(out, texts)], pa.int64())
             columns["ids"] = pa.array([x[0] for x in out], pa.binary())
             if offsets:
                 columns |= {c: pa.array([x[k].tolist() for x in out], pa.list_(pa.int32())) for k, c in ((1, "starts"), (2, "ends"))}
             if decoded:
-                columns["decoded"] = pa.array([codec.decode(x[0]) for x in out], pa.binary())
+                columns["decoded"] = pa.array(codec.decode_all([x[0] for x in out]), pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
 
-    source = small_batches(df).select(*[F.col(f"`{c}`") for c in keep], text_or_empty(f"`{text_col}`").alias("_text"))
-    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], *fields]))
+    source = small_batches(df).select(*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(keep)], text_or_empty(f"`{text_col}`").alias("_text"))
+    return source.mapInArrow(run, T.StructType([*[T.StructField(c, f.dataType) for c, f in zip(keep, source.schema.fields)], *fields]))
 
 
 def decode(df: DataFrame, codec: BytePairCodec, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the bytes that its ids stand for (``cast('string')`` is the text)."""
-    shared = df.sparkSession.sparkContext.broadcast(codec.tokens)  # the byte strings of the vocabulary
+    shared = df.sparkSession.sparkContext.broadcast((codec.text, codec.sizes))  # the byte strings of the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        back = BytePairCodec("", shared.value).decode
+        back = BytePairCodec("", *shared.value).decode_all
         for batch in slices(batches, ids_col, 1 << 20):
-            decoded = pa.array([None if x is None else back(x) for x in batch.column(ids_col).to_pylist()], pa.binary())
+            ids = batch.column(ids_col).to_pylist()
+            decoded = pa.array([None if x is None else t for x, t in zip(ids, back([x or b"" for x in ids]))], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[*batch.schema.names, out_col])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out_col, T.BinaryType())]))
@@ -203,4 +253,4 @@ def codec_of(path: str | None = None) -> BytePairCodec:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode(table(spark, sf_dir, "documents"), codec_of(), decoded=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-                        F.sha2("decoded", 256).alias("decoded_sha256"))
+                        F.sha2("decoded", 256).alias("decoded_sha256"), "n_split")

@@ -103,11 +103,37 @@ def test_byte_bpe_round_trip(docs, empty):
         assert bytes(got[i]["decoded"]) == t.encode()
         assert "".join(codec.token_texts(bytes(got[i]["ids"]))) == t
         assert all(a <= b for a, b in zip(got[i]["starts"], got[i]["ends"])) and (not ids or got[i]["ends"][-1] == len(t))
+        pieces = own.decode_tokens_bytes(ids)
+        assert got[i]["n_split"] == sum(not valid(p) for p in pieces)
+        for piece, a, b in zip(pieces, got[i]["starts"], got[i]["ends"]):
+            assert t[a:b].encode().find(piece) >= 0 and t[a + 1:b - 1].encode() in piece
     once = by_id(byte_bpe.encode(docs, codec, decoded=True))
     assert all((once[i]["ids"], once[i]["decoded"]) == (r["ids"], r["decoded"]) for i, r in got.items()) and len(once) == len(got)
     assert byte_bpe.encode(empty, codec, decoded=True).count() == 0
 
 
+def valid(piece: bytes) -> bool:
+    try:
+        return piece.decode() is not None
+    except UnicodeDecodeError:
+        return False
+
+
+def test_byte_bpe_clashing_repeated_and_very_long(spark):
+    import tiktoken
+
+    codec = byte_bpe.codec_of()
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(public_tokenizers.path(byte_bpe.RANKS)), special_tokens={})
+    words = random.Random(3).choices(["the", "naïve", "日本", "x" * 80, "1234", "it's", "\U0001F600"], k=200_000)
+    texts_ = ["".join(words[:2000]), " ".join(words), "same", "same", "=" * 100_000]
+    df = spark.createDataFrame([(1, t, 5, "k") for t in texts_], "doc_id long, text string, ids int, `a.b` string")
+    got = byte_bpe.encode(df, codec, keep=["doc_id", "a.b"], decoded=True)
+    assert got.columns == ["doc_id", "a.b", "n_tokens", "n_split", "ids", "decoded"]
+    assert sorted((bytes(r["decoded"]).decode(), np.frombuffer(bytes(r["ids"]), "<u4").tolist()) for r in got.collect()) == sorted((t, own.encode_ordinary(t)) for t in texts_)
+    with pytest.raises(ValueError, match="ids"):
+        byte_bpe.encode(df, codec, keep=["ids"])
+
+
 def test_byte_bpe_cuts_like_the_library():
     import tiktoken
 
