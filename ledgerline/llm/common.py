@@ -34,6 +34,18 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def nested(docs: DataFrame) -> DataFrame:
+    """``docs`` as one struct column ``_row``, so that no column of it can clash with a new one."""
+    return docs.select(F.struct("*").alias("_row"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column of ``df`` has."""
+    while name.lower() in map(str.lower, df.columns):
+        name = "_" + name
+    return name
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """Bound the batches that go to Python by bytes, where the session has Spark's default of 64 MB.
 

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import table, text_or_empty, written
+from ledgerline.llm.common import nested, table, text_or_empty, written
 
 COUNTERS = 1024
 
@@ -87,9 +87,9 @@ def without_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     are cut to one in the same partitioning as the join.
     """
     kept = exact_duplicates(docs, counters=counters).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
-    one = docs.withColumns({"_exact_id": F.col("doc_id").cast("long"), "_exact_digest": F.unhex(F.sha2(normalised(), 256))})
+    one = nested(docs).withColumns({"_exact_id": F.col("_row.doc_id").cast("long"), "_exact_digest": F.unhex(F.sha2(normalised("_row.text"), 256))})
     met = one.join(kept, F.col("_exact_id").eqNullSafe(F.col("_id")) & (F.col("_exact_digest") == F.col("_digest")), "left_semi")
-    return met.dropDuplicates(["_exact_id", "_exact_digest"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return met.dropDuplicates(["_exact_id", "_exact_digest"]).select("_row.*")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

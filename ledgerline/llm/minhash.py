@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.byte_bpe import slices
-from ledgerline.llm.common import connected_components, give_back, small_batches, table, text_or_empty, whole_groups, written
+from ledgerline.llm.common import connected_components, give_back, nested, small_batches, table, text_or_empty, whole_groups, written
 
 #: (hash functions, rows of a band): the bands of all documents, then those of crowded buckets.
 LEVELS = ((36, 3), (352, 8))
@@ -320,7 +320,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = SIMILARIT
 def without_near_copies(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with the first document of each component, all columns kept."""
     kept = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("_near_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_near_id")), "left_semi")
+    return nested(docs).join(kept, F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_near_id")), "left_semi").select("_row.*")
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,8 @@ Defined cases: null and empty texts have a vector of zeros and are scored like o
 several labels of a document are averaged; labels other than numbers are skipped;
 without any training row every score is 0.5; with one class only, its share; repeated
 rows give a row each; an empty table gives an empty result; other columns pass through
-``score`` untouched.
+``score`` untouched (the score takes another name where a column has its own); very long texts are
+measured whole.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import give_back, small_batches, table, text_or_empty, written
+from ledgerline.llm.common import free_name, give_back, nested, small_batches, table, text_or_empty, written
 
 FEATURES = 192
 SAMPLE = 100_000
@@ -184,7 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with a score in [0, 1] appended."""
+    """``docs`` with a score in [0, 1] appended as ``out``, with underscores before it where ``docs`` has such a column."""
+    out = free_name(docs, out)
     parts = (model.mean, model.scale, model.weights, model.at, model.share, len(model.phase))
     shared = docs.sparkSession.sparkContext.broadcast(parts)  # a few kilobytes
     model_of, measure = Model, matrix
@@ -199,6 +201,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     return small_batches(docs).withColumn(out, scored(text_or_empty(f"`{text_col}`")))
 
 
+def accepted(docs: DataFrame, model: Model, least: float = ACCEPT) -> DataFrame:
+    """The rows of ``docs`` that score at least ``least``, all columns as they are."""
+    rows = nested(docs).withColumn("text", F.col("_row.text"))
+    return score(rows, model, out="_score").where(F.col("_score") >= least).select("_row.*")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(docs, table(spark, sf_dir, "labels"))
