@@ -19,9 +19,7 @@ from ledgerline.llm.common import table, text_or_empty, written
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier (operator 6), fitted on the labelled ones, accepts."""
-    model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, out="_quality_score")
-    return scored.where(F.col("_quality_score") >= quality.ACCEPT).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return quality.accepted(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
