@@ -39,6 +39,8 @@ FEATURES = 192
 SAMPLE = 100_000
 RIDGE = 1.0
 PARTS = 16
+#: Sums of normal equations that reach the driver.
+SUMS = 4
 ACCEPT = 0.3
 SEED = 20240229
 
@@ -160,10 +162,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
         for b in batches:
             z = model.features(np.array(b["x"].tolist(), float).reshape(len(b), N_STATISTICS))
             zz, zy, n = zz + z.T @ z, zy + z.T @ b["y"].to_numpy(), n + len(b)
-        yield pd.DataFrame({"n": [n], "zz": [zz.tobytes()], "zy": [zy.tobytes()]})
+        if n:
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "n": [n], "zz": [zz.tobytes()], "zy": [zy.tobytes()]})
+
+    def total(some: pd.DataFrame) -> pd.DataFrame:
+        some = some.sort_values("part")  # the same sum in every run
+        zz, zy = (sum(np.frombuffer(x) for x in some[c]).tobytes() for c in ("zz", "zy"))
+        return pd.DataFrame({"part": [some["part"].iloc[0]], "n": [some["n"].sum()], "zz": [zz], "zy": [zy]})
 
     ridge_rows = rows.where("fold <> 4").repartition(PARTS, "key").sortWithinPartitions("key", "y")
-    sums = ridge_rows.select("y", "x").mapInPandas(add_up, "n long, zz binary, zy binary").collect()  # PARTS matrices
+    kind = "part int, n long, zz binary, zy binary"
+    partial = ridge_rows.select("y", "x").mapInPandas(add_up, kind)
+    # A matrix is hundreds of kilobytes: the tasks' matrices are added up on executors, whatever their
+    # number is, and SUMS of them reach the driver.
+    sums = sorted(partial.groupBy(F.col("part") % SUMS).applyInPandas(total, kind).collect(), key=lambda r: r["part"])
     zz = sum(np.frombuffer(r["zz"]).reshape(size, size) for r in sums)
     zy = sum(np.frombuffer(r["zy"]) for r in sums)
     if not sum(r["n"] for r in sums):
