@@ -194,23 +194,37 @@ def test_lattice(spark):
     label = np.arange(n)
     for _ in range(n):
         label = np.array([min(label[i], *label[link[i]]) if link[i].any() else label[i] for i in range(n)])
-    for block in (2048, 3):
-        got = by_id(lattice.near_vectors(table, block=block), "vec_id")
+    for block, plan in ((2048, lattice.PLANS[2]), (3, None)):
+        got = by_id(lattice.near_vectors(table, plan=plan, block=block), "vec_id")
         assert [got[i]["n_links"] for i in range(n)] == link.sum(1).tolist()
         assert [got[i]["component_id"] for i in range(n)] == label.tolist()
         assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i and got[i]["kept"] for i in range(n, n + 6))
+    again = by_id(lattice.near_vectors(table.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))), "vec_id")
+    assert all(again[i]["component_id"] == label[i] for i in range(n))
     assert lattice.near_vectors(table.limit(0)).count() == 0
 
 
-def test_lattice_recall_at_the_threshold():
+@pytest.mark.parametrize("plan", lattice.PLANS)
+def test_lattice_recall_at_the_threshold(plan):
     rng = np.random.default_rng(6)
     a, b = rng.normal(size=(2, 4000, 64))
     a /= np.linalg.norm(a, axis=1)[:, None]
     b -= (a * b).sum(1)[:, None] * a
     b /= np.linalg.norm(b, axis=1)[:, None]
-    cells = lattice.Lattice(64)
+    cells = lattice.Lattice(64, plan)
     ka, kb = cells.keys(a), cells.keys(0.95 * a + np.sqrt(1 - 0.95 ** 2) * b)
-    assert (ka[:, :, :, None] == kb[:, :, None, :]).any((1, 2, 3)).mean() > 0.998
+    meet = np.concatenate([(x[:, :, :, None] == y[:, :, None, :]).any((1, 2, 3)) for x, y in zip(np.split(ka, 20), np.split(kb, 20))])
+    assert meet.mean() > 0.999
+
+
+def test_lattice_plans_keep_cells_small():
+    for n in (10, 10 ** 4, 10 ** 5, 10 ** 6, 10 ** 8, 10 ** 10):
+        assert lattice.plan_for(n).meet * n <= lattice.MEETINGS
+    x = lattice.unit_rows(np.random.default_rng(7).normal(size=(20_000, 64)))
+    for plan in lattice.PLANS[:4]:
+        keys = np.sort(lattice.Lattice(64, plan).keys(x).reshape(len(x), plan.tables, -1), axis=2)
+        met = sum((c * (c - 1.0)).sum() for c in (np.unique(keys[:, t], return_counts=True)[1] for t in range(plan.tables)))
+        assert met / len(x) ** 2 < 2 * plan.meet
 
 
 def test_repeated_substrings(docs, empty):
