@@ -11,7 +11,8 @@ looked at. What is left are classes of one member whose key other classes share,
 repeats end: their bytes, read once from the documents, are dealt by key into texts of about
 a megabyte.
 
-Each text gets a suffix array (prefix doubling up to ``least``) and its BWT. Breadth-first
+Each text gets a suffix array (seven bytes at once, then prefix doubling of what is still
+equal, up to ``least``) and its BWT. Breadth-first
 backward extension starts from the intervals of single symbols; round l extends each
 interval by the symbols before it and marks the boundaries of those whose common prefix with
 the next suffix is l. Common prefixes are derived by increasing value, and the search stops
@@ -128,19 +129,35 @@ def packed(pieces: DataFrame) -> DataFrame:
 
 
 def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` symbols or more (prefix doubling)."""
-    n, step = len(symbols), 1
-    order = np.argsort(symbols, kind="stable")
+    """Suffixes in the order of their first ``depth`` symbols or more.
+
+    Symbols are 0 (a separator, unlike any other, at the end too) or from 1 to 256. The first
+    sort is by seven symbols packed in one number; prefix doubling then sorts again only the
+    suffixes that still equal others. Those equal to the end, and the separators, keep any order.
+    """
+    n, step = len(symbols), 7
+    packed, whole = np.zeros(n, np.int64), np.ones(n, bool)
+    for j in range(step):
+        after = np.zeros(n, np.int64)
+        after[:max(n - j, 0)] = symbols[j:]
+        whole &= after > 0
+        packed = packed << 9 | np.where(whole, after, 0)
+    order = np.argsort(packed)
+    head = np.r_[True, packed[order[1:]] != packed[order[:-1]]] | ~whole[order]  # suffixes up to a separator equal no other
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    slots = np.arange(n)
     while True:
-        s = symbols[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.r_[0, s[1:] != s[:-1]])
-        if step >= depth or rank[order[-1]] == n - 1:
+        alone = head[slots] & np.r_[head[slots[1:]], True]
+        slots = slots[~alone]
+        if step >= depth or not len(slots):
             return order
-        after = np.full(n, -1, np.int64)
-        after[:n - step] = rank[step:]
-        symbols = rank * (n + 1) + after + 1
-        order = np.argsort(symbols, kind="stable")
+        at = order[slots]
+        key = rank[at] * n + rank[at + step]
+        by = np.argsort(key)
+        order[slots], key = at[by], key[by]
+        head[slots[1:][key[1:] != key[:-1]]] = True
+        rank[order[slots]] = np.maximum.accumulate(np.where(head[slots], slots, 0))
         step *= 2
 
 
@@ -149,12 +166,9 @@ def repeated_windows(texts: list[bytes], least: int) -> list[np.ndarray]:
     sizes = np.array([len(t) for t in texts])
     ends = np.cumsum(sizes + 1)
     n, m = int(ends[-1]), len(texts)
-    symbols = np.empty(n, np.int64)
+    symbols = np.frombuffer(b"\0".join([*texts, b""]), np.uint8).astype(np.uint16) + np.uint16(1)
     begins = ends - sizes - 1
-    for i, (t, b) in enumerate(zip(texts, begins.tolist())):
-        symbols[b:b + len(t)] = np.frombuffer(t, np.uint8)
-    symbols += m  # bytes follow the separators,
-    symbols[ends - 1] = np.arange(m)  # each of which is a symbol of its own
+    symbols[ends - 1] = 0  # separators before bytes
     sa = suffix_array(symbols, least)
     bwt = symbols[sa - 1]
     lf = np.empty(n, np.int64)
@@ -162,7 +176,7 @@ def repeated_windows(texts: list[bytes], least: int) -> list[np.ndarray]:
     marked = np.zeros(n + 1, bool)  # marked[r]: the prefix that suffixes r - 1 and r share is shorter than the round
     marked[[0, n]] = True
     firsts = symbols[sa]
-    low = np.flatnonzero(np.r_[True, firsts[1:] != firsts[:-1]])
+    low = np.flatnonzero(np.r_[True, firsts[1:] != firsts[:-1]] | (firsts == 0))
     high = np.r_[low[1:], n] - 1
     for _ in range(least):
         new = ~marked[high + 1]
@@ -170,16 +184,17 @@ def repeated_windows(texts: list[bytes], least: int) -> list[np.ndarray]:
         low, high = low[new], high[new]
         if not len(low):
             break
-        # The symbols before each interval: its first and last row with a symbol bound the extended interval.
+        # The symbols before each interval: its first and last row with a symbol bound the extended
+        # interval. Rows extended by one symbol keep their order, so sorting where they go finds both.
         width = high - low + 1
         at = np.repeat(np.arange(len(low)), width)
         rows = np.arange(len(at)) - np.repeat(np.cumsum(width) - width, width) + low[at]
-        inner = bwt[rows] >= m
-        rows, at = rows[inner], at[inner]
-        by = np.argsort(at * np.int64(m + 256) + bwt[rows], kind="stable")
-        rows, at = rows[by], at[by]
-        head = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (bwt[rows[1:]] != bwt[rows[:-1]])]) if len(rows) else np.empty(0, int)
-        low, high = lf[rows[head]], lf[rows[np.r_[head[1:], len(rows)] - 1]] if len(rows) else np.empty(0, int)
+        inner = bwt[rows] > 0
+        goes = np.sort(at[inner] * n + lf[rows[inner]])
+        at, goes = goes // n, goes % n
+        by = firsts[goes]
+        head = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (by[1:] != by[:-1])]) if len(goes) else np.empty(0, int)
+        low, high = goes[head], goes[np.r_[head[1:], len(goes)] - 1] if len(goes) else np.empty(0, int)
     share = np.flatnonzero(~marked)  # suffixes share[i] - 1 and share[i] have a window in common
     hits = np.unique(np.r_[sa[share], sa[share - 1]])
     of = np.searchsorted(ends, hits, "right")
