@@ -65,6 +65,13 @@ def test_money_and_duration_averages(spark):
     assert r.d == pytest.approx(0.75)
 
 
+def test_average_duration_of_a_sum_beyond_64_bits(spark):
+    micros = 9 * 10 ** 18  # two of them are more than a long holds
+    df = spark.createDataFrame([(1, micros), (1, micros), (1, None), (2, -micros), (2, -micros)], "k int, us long")
+    out = {r.k: r.d for r in df.groupBy("k").agg(avg_micros_as_days("us").alias("d")).collect()}
+    assert out == {1: micros / 86_400_000_000, 2: -micros / 86_400_000_000}
+
+
 def test_mean_coordinate_uses_full_precision(spark):
     df = spark.createDataFrame([(1, -23.50000004), (1, -23.50000004), (1, None)], "k int, v double")
     r = df.groupBy("k").agg(mean_coordinate("v").alias("m")).first()
