@@ -30,3 +30,18 @@ def test_replaced_months_are_made_from_the_stored_rows(spark, in_1994, monkeypat
     got = queries.QUERIES["month_pruned_read"](spark, "").collect()
     assert [(int(r["order_id"]), r["purchase_year_month"], r["order_status"]) for r in got] == [(3, "1994-04", "closed")]
     assert read and all(path.removeprefix("file:") in f for path, f in read)
+
+
+def test_low_months_are_broadcast_whatever_their_estimate(spark, in_1994):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")  # as for tables of any size
+        got = queries.QUERIES["month_dynamic_pruning"](spark, "")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "dynamicpruning" in plan
+        assert got.count() == 5
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
