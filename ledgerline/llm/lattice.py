@@ -126,14 +126,16 @@ class Lattice:
         """(rows, tables, 1 + probes) cell keys."""
         x = (np.rint(units * (1 << 20)) @ self.directions).astype(np.int64).reshape(len(units), self.plan.tables, self.plan.blocks, 8)
         keep = 1 + self.plan.probes
+        # Of two ascending lists, the sum of places i and j has (i + 1)(j + 1) - 1 sums before it.
+        i, j = np.nonzero(np.outer(np.arange(1, keep + 1), np.arange(1, keep + 1)) <= keep)
         out = np.empty((len(units), self.plan.tables, keep), np.int64)
         for t in range(self.plan.tables):
             cost, sums = self.near(x[:, t, 0], self.times[t, 0])
             for b in range(1, self.plan.blocks):  # the nearest of all combinations of the blocks' points
                 more, other = self.near(x[:, t, b], self.times[t, b])
-                pairs = (cost[:, :, None] + more[:, None, :]).reshape(len(x), -1)
+                pairs = cost[:, i] + more[:, j]
                 best = np.argsort(pairs, axis=1, kind="stable")[:, :keep]
-                cost, sums = np.take_along_axis(pairs, best, 1), np.take_along_axis((sums[:, :, None] + other[:, None, :]).reshape(len(x), -1), best, 1)
+                cost, sums = np.take_along_axis(pairs, best, 1), np.take_along_axis(sums[:, i] + other[:, j], best, 1)
             k = sums + self.plus[t]
             out[:, t] = (k ^ (k >> 31)) * np.int64(0x5851F42D4C957F2D)
         return out
@@ -193,6 +195,30 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[inner], names[label[inner]]
 
 
+def distinct_keys(lattice: Lattice, units: np.ndarray) -> np.ndarray:
+    """(rows, tables * (1 + probes)) ascending cell keys, those repeated in a row replaced by the largest number."""
+    keys = np.concatenate([np.sort(lattice.keys(u).reshape(len(u), -1), axis=1) for u in np.array_split(units, len(units) // 4096 + 1)])
+    keys[:, 1:][keys[:, 1:] == keys[:, :-1]] = np.iinfo(np.int64).max
+    return np.sort(keys, axis=1)
+
+
+def smallest_shared(keys: np.ndarray, a: np.ndarray, b: np.ndarray, cell: np.ndarray, step: int = 20_000) -> np.ndarray:
+    """Whether ``cell`` is the smallest key that rows a and b share; it is one of both.
+
+    Pairs that meet in many cells mostly share one of their smallest keys, which settles all their other cells.
+    """
+    first = np.zeros(len(a), bool)
+    for s in range(0, len(a), step):
+        at = np.arange(s, min(s + step, len(a)))
+        for few in (4, 16):
+            x, y = keys[a[at], :few, None], keys[b[at], None, :few]
+            at = at[~((x == y) & (x < cell[at, None, None])).any((1, 2))]
+        both = np.sort(np.hstack([keys[a[at]], keys[b[at]]]), axis=1)
+        least = both[np.arange(len(at)), (both[:, 1:] == both[:, :-1]).argmax(1)]
+        first[at] = least == cell[at]
+    return first
+
+
 def unit_of_work(make, cosine: float, kind: str):
     """Over rows sorted by (cell, c1, c2): for each such unit the counts and forest of its links."""
 
@@ -226,14 +252,9 @@ def unit_of_work(make, cosine: float, kind: str):
                 continue
             v, root = forest(cls[i], cls[j])
             yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(root), pa.nulls(len(v), pa.int64())], names=["a", "b", "n"])
-            used, at = np.unique(np.concatenate([i, j]), return_inverse=True)
-            keys = make(n).keys(unit[place[used]])
-            ki, kj, first = at[:len(i)], at[len(i):], np.empty(len(i), bool)
-            for s in range(0, len(i), 20_000):
-                a, b = keys[ki[s:s + 20_000]], keys[kj[s:s + 20_000]]
-                same = a[:, :, :, None] == b[:, :, None, :]
-                least = np.where(same, a[:, :, :, None], np.iinfo(np.int64).max).min((1, 2, 3))
-                first[s:s + 20_000] = least == cell[i[s:s + 20_000]]
+            _, used, at = np.unique(cls[np.concatenate([i, j])], return_index=True, return_inverse=True)
+            keys = distinct_keys(make(n), unit[place[np.concatenate([i, j])[used]]])
+            first = smallest_shared(keys, at[:len(i)], at[len(i):], cell[i])
             i, j = i[first], j[first]
             links = np.zeros(len(cell), np.int64)
             np.add.at(links, i, copies[j])

@@ -227,6 +227,18 @@ def test_lattice_cells_are_the_same_for_tables_of_any_size(spark, monkeypatch):
     assert plans == [lattice.PLAN] * 2
 
 
+def test_smallest_shared_cell_of_pairs():
+    x = np.random.default_rng(9).normal(size=(40, 16))
+    units = lattice.unit_rows(np.vstack([x, x + np.repeat([[0.02], [0.1], [0.3], [0.5]], 10, 0)]))
+    maker = lattice.Lattice(16, lattice.PLAN)
+    own, keys = [set(k.ravel().tolist()) for k in maker.keys(units)], lattice.distinct_keys(maker, units)
+    met = [(i, 40 + i, c, c == min(own[i] & own[40 + i])) for i in range(40) for c in own[i] & own[40 + i]]
+    a, b, cell, expected = (np.array(v) for v in zip(*met))
+    for step in (7, 20_000):
+        assert (lattice.smallest_shared(keys, a, b, cell, step) == expected).all()
+    assert lattice.smallest_shared(keys, a[:0], b[:0], cell[:0]).shape == (0,)
+
+
 def test_lattice_plans_keep_cells_small():
     for n in (10, 10 ** 4, 10 ** 5, 10 ** 6, 10 ** 8, 10 ** 10):
         assert lattice.plan_for(n).meet * n <= lattice.MEETINGS
