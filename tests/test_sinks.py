@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
-from ledgerline.session import scratch_path
+from ledgerline.session import SINK_CONF, scratch_path, shared_dir, sink_conf, to_local_path
 from ledgerline.sinks import writers
 
 
@@ -131,3 +134,45 @@ def test_catalog_declares_lengths_and_refuses_bad_rows(spark, raw_tables):
     with pytest.raises(Exception, match="customer_state is longer than 2"):
         writers.insert_full_refresh(raw_tables["customers"].withColumn("customer_state", F.lit("long")), target, "silver_customers")
     assert spark.table(target).count() == 4  # the earlier contents stay
+
+
+def test_catalog_load_keeps_one_copy_of_the_rows(spark, raw_tables):
+    root = scratch_path(spark, "one_copy")
+    target = writers.create_layer_tables(spark, root, "t_one_copy")["silver_customers"]
+    before = set(_files(f"{shared_dir(spark)}/ledgerline-scratch"))
+    for state in ("SP", "RJ"):
+        writers.insert_full_refresh(raw_tables["customers"].withColumn("customer_state", F.lit(state)), target, "silver_customers")
+        assert {r.customer_state for r in spark.table(target).collect()} == {state}
+    with pytest.raises(Exception, match="customer_state is longer than 2"):
+        writers.insert_full_refresh(raw_tables["customers"].withColumn("customer_state", F.lit("long")), target, "silver_customers")
+    assert {r.customer_state for r in spark.table(target).collect()} == {"RJ"}
+    kept = set(spark.table(target).inputFiles())
+    assert {to_local_path(k) for k in kept} == set(_files(f"{shared_dir(spark)}/ledgerline-scratch")) - before
+    spark.sql(f"DROP TABLE {target}")
+    assert not set(_files(f"{shared_dir(spark)}/ledgerline-scratch")) - before
+
+
+def _files(path):
+    return [os.path.join(d, f) for d, _, names in os.walk(to_local_path(path)) for f in names if f.endswith(".parquet")]
+
+
+def test_sinks_leave_no_shuffle_files_and_set_the_session_back(spark, raw_tables):
+    before = {k: spark.conf.get(k, None) for k in SINK_CONF}
+    with pytest.raises(ValueError):  # the floor of 1000 rows fails
+        writers.full_refresh(spark, raw_tables, scratch_path(spark, "refused"))
+    assert {k: spark.conf.get(k, None) for k in SINK_CONF} == before
+    with sink_conf(spark):
+        assert {k: spark.conf.get(k) for k in SINK_CONF} == SINK_CONF
+        earlier = _shuffle_files(spark)
+        spark.range(100_000).groupBy((F.col("id") % 1000).alias("k")).count().write.parquet(scratch_path(spark, "no_shuffle_left"))
+        for _ in range(50):  # they are deleted in the background
+            if not _shuffle_files(spark) - earlier:
+                break
+            time.sleep(0.2)
+        assert not _shuffle_files(spark) - earlier
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_")}
