@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 #: Places kept of a double: the finest scale of the model (coordinates).
 DOUBLE_PLACES = 7
 HASH_DIGITS = 15
+#: The column of a row's hash (``with_row_hash``).
+ROW_HASH = "_row_hash"
 
 
 def canonical(name: str, dtype: T.DataType) -> Column:
@@ -42,25 +44,41 @@ def canonical(name: str, dtype: T.DataType) -> Column:
     return c.cast("string")
 
 
-def row_hash(schema: T.StructType) -> Column:
-    """60 bits of the row's canonical text, as a long."""
-    parts = []
-    for f in schema.fields:
-        text = canonical(f.name, f.dataType)
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~")))
+def _hash_of(texts: list[Column]) -> Column:
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~")) for t in texts]
     digits = F.substring(F.md5(F.concat(*parts)), 1, HASH_DIGITS)
     return F.conv(digits, 16, 10).cast("long")
 
 
+def row_hash(schema: T.StructType) -> Column:
+    """60 bits of the row's canonical text, as a long."""
+    return _hash_of([canonical(f.name, f.dataType) for f in schema.fields])
+
+
+def with_row_hash(df: DataFrame) -> DataFrame:
+    """The frame with its rows' hashes as a last column, ``ROW_HASH``.
+
+    Texts and hash are projections of their own, so each is computed once a row: inside an
+    aggregate or an observation the text is made again for its length and the hash for each of
+    the buffers that a decimal sum updates.
+    """
+    texts = {f"_text{i}": canonical(f.name, f.dataType) for i, f in enumerate(df.schema.fields)}
+    return df.select("*", *[t.alias(n) for n, t in texts.items()]).select(
+        *[f"`{c}`" for c in df.columns], _hash_of([F.col(n) for n in texts]).alias(ROW_HASH))
+
+
 def metrics(schema: T.StructType) -> list[Column]:
-    """``row_count`` and ``content_hash`` as aggregates, for ``agg`` or ``observe``."""
-    total = F.sum(row_hash(schema).cast("decimal(20,0)"))
+    """``row_count`` and ``content_hash`` as aggregates, for ``agg`` or ``observe``; of a frame that
+    has its ``ROW_HASH``, the hashes are summed as they are."""
+    hashes = F.col(ROW_HASH) if ROW_HASH in schema.names else row_hash(schema)
+    total = F.sum(hashes.cast("decimal(20,0)"))
     return [F.count(F.lit(1)).alias("row_count"), F.coalesce(total, F.lit(0)).cast("string").alias("content_hash")]
 
 
 def fingerprint(df: DataFrame, table: str, **labels: str) -> DataFrame:
     """One row: table_name, the labels, row_count and content_hash."""
-    return df.agg(*metrics(df.schema)).select(
+    hashed = with_row_hash(df)
+    return hashed.agg(*metrics(hashed.schema)).select(
         F.lit(table).alias("table_name"), *[F.lit(v).alias(k) for k, v in labels.items()], "row_count", "content_hash")
 
 

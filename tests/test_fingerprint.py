@@ -75,3 +75,15 @@ def test_as_an_observation_of_a_write(spark, tmp_path):
     df, seen = spark.createDataFrame(ROWS, SCHEMA), Observation()
     df.observe(seen, *fp.metrics(df.schema)).write.parquet(str(tmp_path / "t"))
     assert (seen.get["row_count"], seen.get["content_hash"]) == by_hand(ROWS) == of(spark.read.parquet(str(tmp_path / "t")))
+
+
+def test_texts_and_hash_are_made_once_a_row(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    plan = fp.fingerprint(df, "t")._jdf.queryExecution().optimizedPlan().toString()
+    aggregate, rest = plan.split("\n", 1)
+    assert "Aggregate" in aggregate and "md5" not in aggregate
+    assert rest.count("timestampdiff(") == 1 and rest.count("md5(") == 1
+    hashed, seen = fp.with_row_hash(df), Observation()
+    hashed.observe(seen, *fp.metrics(hashed.schema)).drop(fp.ROW_HASH).write.parquet(str(tmp_path / "t"))
+    assert (seen.get["row_count"], seen.get["content_hash"]) == by_hand(ROWS)
+    assert spark.read.parquet(str(tmp_path / "t")).columns == df.columns
